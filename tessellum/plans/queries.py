@@ -1,2 +1,15 @@
-def queries(): return {}
-def oracle_sql(): return {}
+"""All queries of the core and their SQL."""
+
+from __future__ import annotations
+
+from . import general
+
+PARTS = (general,)
+
+
+def queries() -> dict[str, object]:
+    return {k: q for p in PARTS for k, q in p.queries().items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {k: q for p in PARTS for k, q in p.oracle_sql().items()}
