@@ -6,6 +6,7 @@ import base64
 import random
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,19 +17,22 @@ from tessellum.session import materialize
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How GPT-2's public byte-pair tokenizer cuts text before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
-_encoders: dict[int, object] = {}
+
+
+@lru_cache(maxsize=2)
+def encoder_of(vocabulary: bytes):
+    """The tokenizer of a vocabulary file's content; a Python worker builds it once."""
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines())}
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def count_tokens(vocabulary):
-    """For mapInPandas over (doc_id, source, text): tokens in place of the text; vocabulary is a broadcast list of lines."""
+    """For mapInPandas over (doc_id, source, text): tokens in place of the text; vocabulary is the broadcast content of its file."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if vocabulary.id not in _encoders:
-            import tiktoken
-
-            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.value)}
-            _encoders[vocabulary.id] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        encoder = _encoders[vocabulary.id]
+        encoder = encoder_of(vocabulary.value)
         for pdf in batches:
             yield pdf[["doc_id", "source"]].assign(tokens=[0 if x is None else len(encoder.encode_ordinary(x)) for x in pdf["text"]])
 
@@ -38,8 +42,8 @@ def count_tokens(vocabulary):
 def with_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, source, tokens) of every document; a null text has none. The vocabulary file (under 2 MB) is broadcast."""
     with open(vocabulary, "rb") as file:
-        lines = docs.sparkSession.sparkContext.broadcast(file.read().splitlines())
-    return docs.select("doc_id", "source", "text").mapInPandas(count_tokens(lines), "doc_id bigint, source string, tokens bigint")
+        content = docs.sparkSession.sparkContext.broadcast(file.read())
+    return docs.select("doc_id", "source", "text").mapInPandas(count_tokens(content), "doc_id bigint, source string, tokens bigint")
 
 
 def draw(seed: int, *keys: object) -> random.Random:

@@ -100,7 +100,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p4_found": rf"""
         WITH items AS ({items}),
-        sized AS (SELECT *, list_max(list_transform(regexp_extract_all(texte, '[\pL\pN]+'), x -> length(x))) AS longest FROM items)
+        sized AS (SELECT *, list_max(list_transform(regexp_extract_all(texte, '[\pL\pN]+'), lambda x: length(x))) AS longest FROM items)
         SELECT tab, item_id, 'oversized' AS kind FROM sized WHERE length(texte) > max_chars
         UNION ALL SELECT tab, item_id, 'unbroken' FROM sized WHERE length(texte) > max_chars AND longest > max_chars"""
     }
