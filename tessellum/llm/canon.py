@@ -5,23 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .fold import compositions, pairs
+from .fold import compositions, mark_order, pairs
 
 #: Text of these characters alone, without outer spaces, is in the consistent form: ASCII, composed Latin letters, usual signs.
 PLAIN = r"[!-~À-ÖØ-öø-ÿŒœŸ«»°²³½‘’“”–—…•]+( +[!-~À-ÖØ-öø-ÿŒœŸ«»°²³½‘’“”–—…•]+)*+"
 
 
+def table(pairs: dict[str, str]) -> Column:
+    """A constant map of strings; one literal, so that the plan stays small."""
+    return F.str_to_map(F.lit("\x02".join(f"{k}\x01{v}" for k, v in pairs.items())), F.lit("\x02"), F.lit("\x01"))
+
+
+def composed(piece: Column) -> Column:
+    """A letter with its marks, the marks in canonical order and composed with the letter as far as they can be."""
+    whole, apart, order = table(compositions()), table({v: k for k, v in compositions().items()}), table(mark_order())
+    letter = F.substring(piece, 1, 1)
+    full = F.concat(F.coalesce(F.try_element_at(apart, letter), letter), F.substr(piece, F.lit(2), F.length(piece)))
+    marks = F.filter(F.split(F.substr(full, F.lit(2), F.length(full)), ""), lambda m: m != "")
+    ranked = F.array_sort(F.transform(marks, lambda m, i: F.struct(F.coalesce(F.try_element_at(order, m), F.lit("000")).alias("c"), i.alias("i"), m.alias("m"))))
+    sorted_ = F.concat(F.substring(full, 1, 1), F.array_join(F.transform(ranked, lambda x: x["m"]), ""))
+    first = F.try_element_at(whole, F.substring(sorted_, 1, 2))
+    return F.coalesce(F.try_element_at(whole, sorted_), F.concat(first, F.substr(sorted_, F.lit(3), F.length(sorted_))), sorted_)
+
+
 def mapped(text: Column) -> Column:
     """The text with look-alike letters, widths and spaces replaced, invisible characters and outer spaces removed, accents composed.
 
-    Built-in expressions only. A letter with marks that have no composed form keeps the marks.
+    Built-in expressions only. A letter with marks that have no composed form keeps the marks, in canonical order.
     """
     chars, plain, several, hidden = pairs()
     out = F.translate(text, chars + hidden, plain)  # characters without a counterpart are removed
-    table = F.create_map(*[F.lit(x) for kv in (compositions() | several).items() for x in kv])
     pieces = F.regexp_extract_all(out, F.lit(r"(?s)(\P{M}\p{M}*|\p{M}+)"), F.lit(1))
-    composed = F.array_join(F.transform(pieces, lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
-    return F.btrim(F.when(out.rlike("[\\p{M}" + "".join(sorted(several)) + "]"), composed).otherwise(out))
+    whole = F.array_join(F.transform(pieces, lambda x: F.coalesce(F.try_element_at(table(several), x), F.when(x.rlike(r"\p{M}"), composed(x)), x)), "")
+    return F.btrim(F.when(out.rlike("[\\p{M}" + "".join(sorted(several)) + "]"), whole).otherwise(out))
 
 
 def consistent_form(df: DataFrame, text: str, collation: str = "UNICODE", out: str = "canonical") -> DataFrame:

@@ -70,6 +70,11 @@ def compositions() -> dict[str, str]:
     return out
 
 
+def mark_order() -> dict[str, str]:
+    """The combining class of each mark, by which marks on one letter are sorted."""
+    return {chr(cp): f"{c:03d}" for cp in (*range(0x300, 0x370), *range(0x1AB0, 0x1B00), *range(0x1DC0, 0x1E00), *range(0x20D0, 0x2100)) if (c := unicodedata.combining(chr(cp)))}
+
+
 @cache
 def bare_table() -> dict[int, str]:
     """Translation to bare lower-case letters: look-alikes replaced, marks and invisible characters removed, case folded."""

@@ -21,7 +21,7 @@ IDEOGRAPHIC = "。！？｡．"
 CASELESS_ENDS = "؟।॥۔"
 MONTHS = ("Januar", "Jänner", "Februar", "März", "April", "Mai", "Juni", "Juli", "August", "September", "Oktober", "November", "Dezember")
 
-BLANK_LINE = re.compile(r"(?:\r\n|\r|\n)[^\S\r\n]*(?:\r\n|\r|\n)\s*|\s*[ \x0c]\s*")
+BLANK_LINE = re.compile(r"(?:\r\n|\r|\n)[^\S\r\n]*(?:\r\n|\r|\n)\s*|[\u2029\x0c]\s*")
 TERMINATOR = re.compile(r"[.!?…]+|[。！？｡]+|[؟।॥۔]+")
 THAI_SPACE = re.compile(r"(?<=[฀-๿])[^\S\r\n]+(?=\S)|(?<=[^\s\d])[^\S\r\n]+(?=[฀-๿])")
 QUOTING = re.compile("[" + re.escape("".join(PAIRS) + "".join(PAIRS.values()) + '"') + "]")
@@ -31,9 +31,11 @@ ENUMERATOR = re.compile(r"\(?(?:\d+(?:\.\d+)*|[IVXLC]{1,5}|[A-Za-z])")
 LIST_LINE = re.compile(r"[;:,][^\S\n]*\n[^\S\n]*\(?(?:\d{1,3}|[A-Za-z])$")
 ALL_WORDS = re.compile(r"[^\W\d_]+")
 MIDDLE = re.compile(rf"(?<=[a-zß-öø-ÿœа-яё,] )[{UPPER}][^\W\d_]*")
-STARTS = re.compile(rf"(?:\A|\n[^\S\n]*\n\s*|[!?][\"”»)]*\s+|[^\W\d_]{{5,}}\.\s+|\d\.\s+)([{UPPER}][^\W\d_]*)")
+STARTS = re.compile(rf"(?:\A|\n[^\S\n]*\n[^\S\n]*|[!?][\"”»)]*\s+|(?<![^\W\d_])[^\W\d_]{{5,}}\.\s+|\d\.\s+)([{UPPER}][^\W\d_]*)")
 FULL_STOP = re.compile(rf"(?<![^\W_])((?:[^\W\d_]|[.\-ऀ-ॣ])+)\.(?![.])(?=(,|;|:|\s+[a-zß-öø-ÿœа-яё])|\s+(\d)|\s+([{UPPER}][^\W\d_]*)|(\s*\Z|\s*\n\s*\n))")
 
+#: How many open marks back a closing mark finds its partner.
+NESTED = 20
 #: Letters up to which a token is judged from any number of occurrences, and the number a longer one needs.
 SHORT, SEEN = 5, 20
 STATS = "kind string, a string, b string, n1 bigint, n2 bigint, n3 bigint"
@@ -115,7 +117,7 @@ class Reader:
                 else:
                     stack.append(('"', at))
                 continue
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, max(-1, len(stack) - NESTED - 1), -1):
                 if ch in PAIRS.get(stack[k][0], ""):
                     out.append((stack[k][1], at, stack[k][0] not in ROUND))
                     del stack[k:]
@@ -123,7 +125,22 @@ class Reader:
             else:
                 if ch in PAIRS:
                     stack.append((ch, at))
-        return out
+        return sorted(out)
+
+    @staticmethod
+    def around(spans: list[tuple[int, int, bool]]):
+        """A function from places, asked for in order, to the (close, quote) of the spans around each, the inmost first."""
+        active, at = [], 0
+
+        def of(place: int) -> list[tuple[int, bool]]:
+            nonlocal active, at
+            while at < len(spans) and spans[at][0] < place:
+                active.append((spans[at][1], spans[at][2]))
+                at += 1
+            active = [x for x in active if x[0] > place]
+            return sorted(active)
+
+        return of
 
     def ends(self) -> Iterator[tuple[int, int, str, str | None, str | None]]:
         """(end, next start or -1, kind, token, word): kind = is certain, U and D are left to the corpus."""
@@ -149,12 +166,11 @@ class Reader:
     def inside(self, a: int, b: int) -> Iterator[tuple[int, int, str, str | None, str | None]]:
         text = self.text
         spans = self.spans(a, b) if QUOTING.search(text, a, b) else []
-        found = []
+        found, around = [], self.around(spans)
         for m in TERMINATOR.finditer(text, a, b):
             end, quoted = m.end(), False
             if spans:
-                open_at = sorted((c, q) for o, c, q in spans if o < m.start() < c)
-                for close, quote in open_at:
+                for close, quote in around(m.start()):
                     gap = text[end:close]
                     if gap.strip() or len(gap) > 1:
                         end = -1
@@ -168,10 +184,11 @@ class Reader:
             if nxt < b and (verdict := self.judge(m[0], a, m.start(), end, nxt, quoted)):
                 found.append((end, nxt, *verdict))
         if "฀" <= max(text[a:b]) and any("฀" <= c <= "๿" for c in text[a:b]):
+            around = self.around(spans)
             for m in THAI_SPACE.finditer(text, a, b):
                 left, right = text[m.start() - 1], text[m.end()]
                 numbered = left.isdigit() or right.isdigit() or left in ".,)" and text[m.start() - 2 : m.start() - 1].isdigit()
-                if not numbered and not any(o < m.start() < c for o, c, _ in spans):
+                if not numbered and not around(m.start()):
                     found.append((m.start(), m.end(), "=", None, None))
             found = list({x[0]: x for x in sorted(found)}.values())
         yield from sorted(found)
