@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import general
+from . import document, general
 
-PARTS = (general,)
+PARTS = (general, document)
 
 
 def queries() -> dict[str, object]:
