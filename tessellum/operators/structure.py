@@ -27,19 +27,21 @@ def level(kind: Column) -> Column:
     return F.try_element_at(F.create_map(*[x for k, t in enumerate(LEVELS) for x in (F.lit(t), F.lit(k))]), kind)
 
 
-def extract_numbers(df: DataFrame, titre: str = "titre", order: str = "el_id", doc: str = "fileid") -> DataFrame:
+def extract_numbers(df: DataFrame, titre: str = "titre", order: str = "el_id", doc: str = "fileid", heading: Column | None = None) -> DataFrame:
     """df with numero and the title without it: a leading number, else a trailing one, else _k, where k counts the document's such headings.
 
-    The word for the type may be left out, so A priori has the number A. Null titles are numbered like empty ones.
+    The word for the type may be left out, so A priori has the number A. Null titles are numbered like empty ones. Rows for
+    which the condition heading doesn't hold get nulls and don't count.
     """
+    counts = F.lit(True) if heading is None else F.coalesce(heading, F.lit(False))
     t = F.coalesce(F.col(titre), F.lit(""))
     lead, trail = F.regexp_extract(t, LEADING, 0), F.regexp_extract(t, TRAILING, 2)
     number = F.when(lead != "", F.concat(*[F.regexp_extract(t, LEADING, g) for g in (1, 2, 3)])).when(trail != "", trail)
     rest = F.when(lead != "", F.substring(t, F.length(lead) + 1, F.length(t))).when(trail != "", F.regexp_extract(t, TRAILING, 1)).otherwise(t)
     w = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     rows = df.withColumns({"__n": number, "titre_nu": rest})
-    unknown = F.sum(F.when(F.col("__n").isNull(), 1).otherwise(0)).over(w) - 1
-    return rows.withColumn("numero_extrait", F.coalesce("__n", F.concat(F.lit("_"), unknown.cast("string")))).drop("__n")
+    unknown = F.sum(F.when(counts & F.col("__n").isNull(), 1).otherwise(0)).over(w) - 1
+    return rows.withColumns({"numero_extrait": F.when(counts, F.coalesce("__n", F.concat(F.lit("_"), unknown.cast("string")))), "titre_nu": F.when(counts, F.col("titre_nu"))}).drop("__n")
 
 
 def close_intervals(df: DataFrame, order: str = "el_id", doc: str = "fileid") -> DataFrame:
@@ -125,7 +127,8 @@ def zones(df: DataFrame, order: str = "el_id", doc: str = "fileid", chapter: str
     below = child.select(doc, F.col("id").alias("sub"), F.col("parent").alias("id"), F.col("titre").alias("sub_titre"), F.concat_ws("/", "type", "n").alias("tail"))
     sub = s.join(below, [doc, "id"]).select(doc, F.lit("milieu").alias("kind"), F.col("sub").alias("id"), F.regexp_extract("sub_titre", r"^\s*(\S+)[-–—\s]+(.*)", 1).alias("code"), F.regexp_extract("sub_titre", r"^\s*(\S+)[-–—\s]+(.*)", 2).alias("titre"), F.concat_ws("/", "url", "tail").alias("url"))
     cat = s.select(doc, F.lit("categorie_milieu").alias("kind"), "id", F.regexp_extract("titre", r"^\s*(\S+)\s*[-–—]\s*(.*)", 1).alias("code"), F.regexp_extract("titre", r"^\s*(\S+)\s*[-–—]\s*(.*)", 2).alias("titre"), "url")
-    both = cat.unionByName(sub).where("code != ''")
+    # The file is passed through an expression, as Spark 4.1 may take a union of parts that are split alike for split itself.
+    both = cat.unionByName(sub.withColumn(doc, F.concat(doc, F.lit("")))).where("code != ''")
     return both.groupBy(doc, "kind", "code").agg(F.max(F.struct("id", "titre", "url")).alias("x")).select(doc, "kind", "code", "x.titre", "x.url")
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import document, general
+from . import document, general, outline
 
-PARTS = (general, document)
+PARTS = (general, document, outline)
 
 
 def queries() -> dict[str, object]:
