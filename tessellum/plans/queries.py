@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import document, general, outline
+from . import corpus, document, general, outline
 
-PARTS = (general, document, outline)
+PARTS = (general, document, outline, corpus)
 
 
 def queries() -> dict[str, object]:
