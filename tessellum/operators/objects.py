@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -54,44 +54,55 @@ def box_labels(df: DataFrame) -> DataFrame:
     return df.withColumn("box_label", F.when(F.col("box").isNull(), "O").otherwise(F.concat(F.when(same, "I-").otherwise("B-"), F.col("box_type"))))
 
 
-def merge_page(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The boxes of one page, those that overlap merged until none do."""
-    order = pdf.assign(area=(pdf.x1 - pdf.x0) * (pdf.bottom - pdf.top)).sort_values(["area", "place"], ascending=[False, True])
-    left = [dict(place=int(r.place), parts=[r], box=[int(r.x0), int(r.top), int(r.x1), int(r.bottom)]) for r in order.itertuples()]
-    done = []
-    while left:
-        head, left = left[0], left[1:]
-        grown = True
-        while grown:
-            grown = False
-            for other in [x for x in left if head["box"][0] < x["box"][2] and x["box"][0] < head["box"][2] and head["box"][1] < x["box"][3] and x["box"][1] < head["box"][3]]:
-                left.remove(other)
-                head["parts"] += other["parts"]
-                a, b = head["box"], other["box"]
-                head["box"] = [min(a[0], b[0]), min(a[1], b[1]), max(a[2], b[2]), max(a[3], b[3])]
-                grown = True
-            # A box that grew may now meet one that was closed before.
-            for other in [x for x in done if head["box"][0] < x["box"][2] and x["box"][0] < head["box"][2] and head["box"][1] < x["box"][3] and x["box"][1] < head["box"][3]]:
-                done.remove(other)
-                head = dict(place=other["place"], parts=other["parts"] + head["parts"], box=[min(head["box"][0], other["box"][0]), min(head["box"][1], other["box"][1]), max(head["box"][2], other["box"][2]), max(head["box"][3], other["box"][3])])
-                grown = True
-        done.append(head)
-    rows = []
-    for x in sorted(done, key=lambda x: x["place"]):
-        types = [p.type for p in x["parts"]]
-        kind = types[0] if len(types) == 1 else "Tableau" if "Tableau" in types else "Figure"
-        text = " ".join(p.text for p in x["parts"] if p.text)
-        rows.append((pdf.fileid.iloc[0], int(pdf.page.iloc[0]), x["place"], kind, text, *x["box"], len(types)))
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in MERGED.split(", ")])
+def meet(a: list[int], b: list[int]) -> bool:
+    return a[0] < b[2] and b[0] < a[2] and a[1] < b[3] and b[1] < a[3]
+
+
+def merge_boxes(boxes: list[tuple]) -> list[tuple]:
+    """The boxes of one page, (place, type, text, x0, top, x1, bottom), with those that overlap merged until none do."""
+    area = lambda r: (r[5] - r[3]) * (r[6] - r[4])
+    done: list[tuple[int, list, list[int]]] = []
+    for r in sorted(boxes, key=lambda r: (-area(r), r[0])):
+        place, parts, box = r[0], [r], [r[3], r[4], r[5], r[6]]
+        # What a box meets joins it; it may then meet others.
+        while (k := next((k for k, x in enumerate(done) if meet(box, x[2])), None)) is not None:
+            other = done.pop(k)
+            place, parts = other[0], other[1] + parts
+            box = [min(box[0], other[2][0]), min(box[1], other[2][1]), max(box[2], other[2][2]), max(box[3], other[2][3])]
+        done.append((place, parts, box))
+    out = []
+    for place, parts, box in sorted(done, key=lambda x: x[0]):
+        kinds = [p[1] for p in parts]
+        kind = kinds[0] if len(kinds) == 1 else "Tableau" if "Tableau" in kinds else "Figure"
+        out.append((place, kind, " ".join(p[2] for p in parts if p[2]), *box, len(parts)))
+    return out
+
+
+def merge_sorted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For mapInPandas over partitions sorted by page: pages are merged one after the other as they stream by."""
+    names = [c.split()[0] for c in MERGED.split(", ")]
+    page, held = None, []
+    for pdf in batches:
+        rows = []
+        for key, *box in zip(zip(pdf["fileid"], pdf["page"], strict=True), *[pdf[c].tolist() for c in ("place", "type", "text", *BOX)], strict=True):
+            if key != page:
+                rows += [(*page, *x) for x in merge_boxes(held)] if held else []
+                page, held = key, []
+            held.append(tuple(box))
+        yield pd.DataFrame(rows, columns=names)
+    if held:
+        yield pd.DataFrame([(*page, *x) for x in merge_boxes(held)], columns=names)
 
 
 def merge_overlaps(boxes: DataFrame) -> DataFrame:
     """Boxes of each page, overlapping ones merged to their hull until none overlap.
 
     A merged box is a Tableau if one of its members is, else a Figure, whatever they were; its text is theirs, the largest
-    member first, its place the largest one's. boxes has fileid, page, place, type, text and the box. A page is one group.
+    member first, its place that of the group the box joined. boxes has fileid, page, place, type, text and the box. Only
+    the boxes of one page are held at a time.
     """
-    return boxes.select("fileid", "page", "place", "type", "text", *BOX).groupBy("fileid", "page").applyInPandas(merge_page, MERGED)
+    rows = boxes.select("fileid", "page", "place", "type", F.coalesce("text", F.lit("")).alias("text"), *BOX).where("fileid IS NOT NULL AND page IS NOT NULL")
+    return rows.repartition("fileid", "page").sortWithinPartitions("fileid", "page", "place").mapInPandas(merge_sorted, MERGED)
 
 
 def reading_order(blocks: DataFrame, images: DataFrame, merge: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
