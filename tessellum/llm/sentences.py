@@ -30,8 +30,8 @@ NEXT_WORD = re.compile(r"[^\W\d_]+")
 ENUMERATOR = re.compile(r"\(?(?:\d+(?:\.\d+)*|[IVXLC]{1,5}|[A-Za-z])")
 LIST_LINE = re.compile(r"[;:,][^\S\n]*\n[^\S\n]*\(?(?:\d{1,3}|[A-Za-z])$")
 ALL_WORDS = re.compile(r"[^\W\d_]+")
-MIDDLE = re.compile(rf"(?<=[a-zß-öø-ÿœа-яё,] )[{UPPER}][^\W\d_]*")
-STARTS = re.compile(rf"(?:\A|\n[^\S\n]*\n[^\S\n]*|[!?][\"”»)]*\s+|(?<![^\W\d_])[^\W\d_]{{5,}}\.\s+|\d\.\s+)([{UPPER}][^\W\d_]*)")
+MIDDLE = re.compile(rf"(?<=[a-zß-öø-ÿœа-яё,] )[{UPPER}][^\W\d_]*(?!\.\s*\d)(?![^\W\d_])")
+STARTS = re.compile(rf"(?:\A|\n[^\S\n]*\n[^\S\n]*|[!?][\"”»)]*\s+|(?<![^\W\d_])[^\W\d_]{{5,}}\.\s+|\d\.\s+)[«“„\"(¿¡]*([{UPPER}][^\W\d_]*)")
 FULL_STOP = re.compile(rf"(?<![^\W_])((?:[^\W\d_]|[.\-ऀ-ॣ])+)\.(?![.])(?=(,|;|:|\s+[a-zß-öø-ÿœа-яё])|\s+(\d)|\s+([{UPPER}][^\W\d_]*)|(\s*\Z|\s*\n\s*\n))")
 
 #: How many open marks back a closing mark finds its partner.
@@ -219,6 +219,8 @@ class Reader:
             return None
         if any("ऀ" <= c <= "ॿ" for c in token):
             return None
+        if ch in "¿¡":
+            return sure
         word = m[0] if (m := NEXT_WORD.match(text, opened)) else None
         if token[-1].isdigit():
             return None if word in MONTHS and len(token) < 3 else sure
