@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessellum.functions.text import fold
+from tessellum.session import materialize
 
 # French words too common to index.
 STOP_WORDS = tuple(
@@ -32,12 +33,12 @@ def build_index(docs: DataFrame, ref: str = "ref", fields: dict[str, float] | No
 
     fields maps columns to boosts, a title counting twice by default. Terms are counted in each document first, so that the
     exchange by term moves a row for each document's term and a term in all documents is only a key like others in partial sums.
-    Of rows with one ref any one counts.
+    The terms of the documents are written once, as all three tables are read from them. Of rows with one ref any one counts.
     """
     fields = fields or {"titre": 2.0, "texte": 1.0}
     rows = docs.dropDuplicates([ref])
     of = [F.struct(F.lit(f).alias("field"), tokens(F.col(f)).alias("terms")) for f in fields]
-    split = rows.select(F.col(ref).alias("ref"), F.inline(F.array(*of))).withColumn("length", F.size("terms"))
+    split = materialize(rows.select(F.col(ref).alias("ref"), F.inline(F.array(*of))), "terms").withColumn("length", F.size("terms"))
     one = split.select("ref", "field", "length", F.explode("terms").alias("term"))
     postings = one.groupBy("ref", "field", "term").agg(F.count("*").alias("tf"), F.first("length").alias("length"))
     terms = postings.groupBy("ref", "term").agg(F.lit(1).alias("n")).groupBy("term").agg(F.sum("n").alias("df"))

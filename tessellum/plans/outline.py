@@ -161,7 +161,7 @@ def texts(spark: SparkSession, d: str) -> DataFrame:
     return pages.unionByName(made)
 
 
-REFERENCE = links.REFERENCE.replace("'", "''")
+REFERENCE = links.REFERENCE.replace("'", "''").replace(links.FIRST_LETTER, "")  # DuckDB's patterns have no look-ahead
 LISTED = [tuple(x.replace("'", "''") for x in (links.SECTION, links.NUMBERS, links.NUMBER)), tuple(x.replace("'", "''") for x in (links.ZONE_WORDS, links.ZONES, links.ZONE))]
 FOUND = rf"""cut AS (SELECT id, t, regexp_split_to_array(t, '(?i){REFERENCE}') AS between, regexp_extract_all(t, '(?i){REFERENCE}') AS found FROM texts),
   spots AS (SELECT id, t, CAST(coalesce(list_sum(list_transform(between[1:k], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(found[1:k - 1], lambda x: length(x))), 0) AS BIGINT) AS s, found[k] AS m FROM cut, unnest(range(1, len(found) + 1)) AS u(k)),
