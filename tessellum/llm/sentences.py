@@ -38,8 +38,9 @@ FULL_STOP = re.compile(rf"(?<![^\W_])((?:[^\W\d_]|[.\-ऀ-ॣ])+)\.(?![.])(?=(,|
 NESTED = 20
 #: Letters up to which a token is judged from any number of occurrences, and the number a longer one needs.
 SHORT, SEEN = 5, 20
+VOWEL = "[aeiouyàâäéèêëîïôöùûüœæаеёиоуыэюяіїєαεηιουω]"
 STATS = "kind string, a string, b string, n1 bigint, n2 bigint, n3 bigint"
-ENDS = "doc_id bigint, first_pos int, end_pos int, next_pos int, kind string, token string, word string"
+ENDS = "doc_id bigint, version bigint, first_pos int, end_pos int, next_pos int, kind string, token string, word string"
 
 
 def joined(text: str, at: int, token: str) -> str:
@@ -246,10 +247,10 @@ def find_ends(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = [c.split()[0] for c in ENDS.split(", ")]
     for pdf in batches:
         rows = []
-        for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
+        for doc, version, text in zip(pdf["doc_id"], pdf["version"], pdf["text"], strict=True):
             reader = Reader(text)
             found = list(reader.ends())
-            rows += [(doc, reader.first, *x) for x in found]
+            rows += [(doc, version, reader.first, *x) for x in found]
         yield pd.DataFrame(rows, columns=names)
 
 
@@ -261,32 +262,38 @@ def split_sentences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     document, and where it has none, from those of the whole corpus, counted with partial sums and joined by token. Terminators of
     other scripts have rules of their own: ideographic and Arabic ones, the danda, the space in Thai.
 
-    doc_id is taken to be unique: rows that share one are cut together into spans that may interleave, so give them other ids.
-    Null, empty and blank texts and rows with a null id have no sentences; other columns are not read. With keep_text the
-    sentence itself is joined on.
+    Repeated rows count once; rows of one doc_id with other texts give the sentences of each text. Null, empty and blank texts
+    and rows with a null id have no sentences; an empty table gives an empty result; other columns are not read. With keep_text
+    the sentence itself is joined on.
     """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     stats = materialize(rows.select("text").mapInPandas(evidence, STATS).groupBy("kind", "a", "b").agg(*[F.sum(n).alias(n) for n in ("n1", "n2", "n3")]), "sentence-evidence")
     ordinary = stats.where("kind = 'w'").select(F.col("a").alias("word"), (F.col("n1") + F.col("n2") > F.col("n3")).alias("common"))
-    seen = stats.where("kind = 't'").join(ordinary, F.col("b") == F.col("word"), "left").withColumn("name", F.col("b").isNotNull() & ~F.coalesce("common", F.lit(False)))
-    sums = seen.groupBy(F.col("a").alias("token")).agg(F.sum("n1").alias("small"), F.sum("n2").alias("digit"), F.sum(F.when(F.col("name"), F.col("n3")).otherwise(0)).alias("name"), F.sum(F.when(~F.col("name"), F.col("n3")).otherwise(0)).alias("final"))
+    seen = stats.where("kind = 't'").join(ordinary, F.col("b") == F.col("word"), "left")
+    # A word seen nowhere else tells nothing, unless the token has no vowel and so is no word.
+    name = F.col("b").isNotNull() & ~F.coalesce("common", F.col("a").rlike(VOWEL))
+    final = F.col("b").isNull() | F.coalesce("common", F.lit(False))
+    total = lambda n, where=None: F.sum(F.col(n) if where is None else F.when(where, F.col(n)).otherwise(0))
+    sums = seen.groupBy(F.col("a").alias("token")).agg(total("n1").alias("small"), total("n2").alias("digit"), total("n3", name).alias("name"), total("n3", final).alias("final"))
     # A long token needs more occurrences, as a rare name may stand before a name or number by chance.
     known = sums.where(f"length(token) <= {SHORT} OR small + digit + name + final >= {SEEN}")
+    inside = F.col("small") + F.col("digit") + F.col("name")
     short = known.select(
         "token",
-        ((F.col("small") + F.col("digit") + F.col("name")) * 2 >= F.col("small") + F.col("digit") + F.col("name") + F.col("final")).alias("abbreviation"),
-        (F.col("digit") >= F.col("name") + F.col("final")).alias("before_digit"),
+        ((inside > 0) & (inside >= F.col("final"))).alias("abbreviation"),
+        ((F.col("digit") > 0) & (F.col("digit") >= F.col("name") + F.col("final"))).alias("before_digit"),
     ).where("abbreviation OR before_digit")
 
-    ends = rows.mapInPandas(find_ends, ENDS)
+    ends = rows.withColumn("version", F.xxhash64("text")).mapInPandas(find_ends, ENDS)
     # A certain end has no token or word; keys of their own spread these rows over all partitions of the joins.
     own = F.concat(F.lit("\0"), F.xxhash64("doc_id", "end_pos").cast("string"))
     keyed = ends.withColumn("token_key", F.coalesce("token", own)).withColumn("word_key", F.coalesce("word", own))
     judged = keyed.join(short.withColumnRenamed("token", "token_key"), "token_key", "left").join(ordinary.where("common").withColumnRenamed("word", "word_key"), "word_key", "left")
     abbreviation = F.col("token").isNull() | F.coalesce("abbreviation", F.lit(False))
     ending = F.when(F.col("kind") == "=", True).when(F.col("kind") == "D", ~F.coalesce("before_digit", F.lit(False))).otherwise(~abbreviation | F.coalesce("common", F.lit(False)))
-    order = Window.partitionBy("doc_id").orderBy("end_pos")
-    out = judged.where(ending).select("doc_id", F.coalesce(F.lag("next_pos").over(order), F.col("first_pos")).alias("start_pos"), "end_pos")
+    order = Window.partitionBy("doc_id", "version").orderBy("end_pos")
+    placed = judged.where(ending).select("doc_id", "version", F.coalesce(F.lag("next_pos").over(order), F.col("first_pos")).alias("start_pos"), "end_pos", F.lag("end_pos").over(order).alias("before"))
+    out = placed.where("before IS NULL OR before < end_pos").drop("before")
     if keep_text:
-        out = out.join(rows, "doc_id").withColumn("sentence", F.expr("substring(text, start_pos + 1, end_pos - start_pos)")).drop("text")
-    return out
+        out = out.join(rows.withColumn("version", F.xxhash64("text")).distinct(), ["doc_id", "version"]).withColumn("sentence", F.expr("substring(text, start_pos + 1, end_pos - start_pos)")).drop("text")
+    return out.drop("version")

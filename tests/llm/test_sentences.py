@@ -67,6 +67,12 @@ def test_edges(spark):
     assert [r["sentence"] for r in kept] == ["Fin."]
 
 
+def test_repeated_rows_and_ids(spark):
+    rows = [(1, "Un mot. Deux mots."), (1, "Un mot. Deux mots."), (1, "Trois."), (1, None)]
+    got = sorted((r["start_pos"], r["end_pos"]) for r in split_sentences(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == [(0, 6), (0, 7), (8, 18)]
+
+
 def test_spans_do_not_overlap_and_cover_all_but_white_space(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
