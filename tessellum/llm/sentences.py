@@ -38,6 +38,8 @@ FULL_STOP = re.compile(rf"(?<![^\W_])((?:[^\W\d_]|[.\-ऀ-ॣ])+)\.(?![.])(?=(,|
 NESTED = 20
 #: Letters up to which a token is judged from any number of occurrences, and the number a longer one needs.
 SHORT, SEEN = 5, 20
+#: From how many occurrences on a pair of token and word, the word seen nowhere else, belongs together.
+REPEATED = 3
 VOWEL = "[aeiouyàâäéèêëîïôöùûüœæаеёиоуыэюяіїєαεηιουω]"
 STATS = "kind string, a string, b string, n1 bigint, n2 bigint, n3 bigint"
 ENDS = "doc_id bigint, version bigint, first_pos int, end_pos int, next_pos int, kind string, token string, word string"
@@ -270,8 +272,8 @@ def split_sentences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     stats = materialize(rows.select("text").mapInPandas(evidence, STATS).groupBy("kind", "a", "b").agg(*[F.sum(n).alias(n) for n in ("n1", "n2", "n3")]), "sentence-evidence")
     ordinary = stats.where("kind = 'w'").select(F.col("a").alias("word"), (F.col("n1") + F.col("n2") > F.col("n3")).alias("common"))
     seen = stats.where("kind = 't'").join(ordinary, F.col("b") == F.col("word"), "left")
-    # A word seen nowhere else tells nothing, unless the token has no vowel and so is no word.
-    name = F.col("b").isNotNull() & ~F.coalesce("common", F.col("a").rlike(VOWEL))
+    # A word seen nowhere else tells nothing, unless it comes again and again or the token has no vowel and so is no word.
+    name = F.col("b").isNotNull() & ~F.coalesce("common", F.col("a").rlike(VOWEL) & (F.col("n3") < REPEATED))
     final = F.col("b").isNull() | F.coalesce("common", F.lit(False))
     total = lambda n, where=None: F.sum(F.col(n) if where is None else F.when(where, F.col(n)).otherwise(0))
     sums = seen.groupBy(F.col("a").alias("token")).agg(total("n1").alias("small"), total("n2").alias("digit"), total("n3", name).alias("name"), total("n3", final).alias("final"))
