@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tessellum.tables import table
 
 from .canon import consistent_form
+from .fold import pairs
 from .leaks import find_leaks
 from .mixture import mix_sources
-from .runs import collapse_runs
+from .runs import TYPES, collapse_runs
 from .sentences import split_sentences
 from .split import split_oversized
 
@@ -92,15 +93,61 @@ def queries() -> dict[str, object]:
     return {f.__name__: f for f in (p1_found, p1_runs, p3_found, p3_forms, p4_found, p4_pieces, p6_found, p6_leaks, p7_found, p7_chosen, p7_shares, p8_found)}
 
 
+def sql_quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def sql_bare(text: str) -> str:
+    """SQL: a text in bare small letters."""
+    chars, plain, several, hidden = pairs()
+    out = f"translate({text}, {sql_quoted(chars)}, {sql_quoted(plain)})"
+    for ch, x in several.items():
+        if ch.isalpha():
+            out = f"replace({out}, '{ch}', '{x}')"
+    return f"lower(strip_accents(regexp_replace({out}, '[' || {sql_quoted(hidden)} || ']', '', 'g')))"
+
+
+def sql_labels(column: str) -> str:
+    """SQL: bio and type of every spelling of a label column, by the least number of typos."""
+    types = ", ".join(f"'{t}'" for t in TYPES[column])
+    return rf"""{column}_read AS (SELECT DISTINCT {column} AS label, {sql_bare(column)} AS x FROM word_rows WHERE {column} IS NOT NULL),
+  {column}_cut AS (SELECT label, regexp_extract(x, '^[^a-z0-9]*([bio0])[^a-z0-9]*(.*?)[^a-z0-9]*$', 1) AS bio, regexp_extract(x, '^[^a-z0-9]*([bio0])[^a-z0-9]*(.*?)[^a-z0-9]*$', 2) AS name FROM {column}_read),
+  {column}_map AS (SELECT label, any_value(bio) AS bio, any_value(name) AS name, arg_min(t, damerau_levenshtein(name, lower(t)) * 10 + CASE WHEN length(name) = length(t) AND levenshtein(name, lower(t)) = 1 THEN 5 ELSE 0 END) AS type FROM {column}_cut, unnest([{types}]) AS u(t) GROUP BY label),
+  {column}_rows AS (SELECT DISTINCT '{column}' AS kind, w.fileid, w.word_idx, w.saved_at, CASE WHEN m.bio IN ('b', 'i') THEN m.bio ELSE '' END AS bio, CASE WHEN m.bio = 'i' AND m.name = '' THEN NULL WHEN m.bio IN ('b', 'i') AND m.name <> '' THEN m.type ELSE '' END AS own
+    FROM word_rows w LEFT JOIN {column}_map m ON m.label = w.{column} WHERE w.fileid IS NOT NULL AND w.word_idx IS NOT NULL)"""
+
+
+def sql_runs() -> str:
+    both = " UNION ALL ".join(f"SELECT * FROM {c}_rows" for c in TYPES)
+    return ", ".join(map(sql_labels, TYPES)) + f""",
+  typed AS (SELECT *, coalesce(last_value(own IGNORE NULLS) OVER (PARTITION BY kind, fileid ORDER BY word_idx), '') AS type FROM ({both})),
+  opened AS (SELECT *, CASE WHEN type = '' OR bio = 'b' OR type <> lag(type, 1, '') OVER (PARTITION BY kind, fileid ORDER BY word_idx) THEN 1 ELSE 0 END AS opens FROM typed),
+  numbered AS (SELECT *, sum(opens) OVER (PARTITION BY kind, fileid ORDER BY word_idx) AS run FROM opened),
+  runs AS (SELECT kind, fileid, type AS label, min(word_idx) AS first_word_idx, max(word_idx) AS last_word_idx, count(*) AS n_words, epoch_us(arg_max(saved_at, word_idx)) - epoch_us(arg_min(saved_at, word_idx)) AS duration_us FROM numbered WHERE type <> '' GROUP BY kind, fileid, run, type)"""
+
+
+#: Characters of text in the consistent form, as far as the tables hold them.
+SQL_PLAIN = "[ -~À-ÖØ-öø-ÿŒœŸ«»°²³½‘’“”–—…•ΔΘΛΞΠΣΦΨΩβδεζηθλμξπσςφψω]*"
+
+
 def oracle_sql() -> dict[str, str]:
-    """p4_found alone: the others need typo distances, look-alike tables, tokenizers or rules of scripts."""
+    """The others need tokenizers, heaps or rules of scripts."""
     one = """SELECT '{tab}' AS tab, {item} AS item_id, max_by(texte, {newest}) AS texte, any_value(max_chars) AS max_chars
         FROM {tab}, (SELECT max_chars FROM split_limits WHERE tab = '{tab}') WHERE texte IS NOT NULL GROUP BY {item}"""
     items = " UNION ALL ".join(one.format(tab=t, item=i, newest=n) for t, i, n in (("index_docs", "ref", "indexed_at"), ("search_results", "hit_id", "searched_at")))
+    words = lambda table, key: f"SELECT {key} AS id, regexp_extract_all({sql_bare('text')}, '[\\pL\\pN]+') AS w FROM {table} WHERE text IS NOT NULL AND {key} IS NOT NULL"
+    windows = "SELECT DISTINCT id, array_to_string(w[i:i + 14], ' ') AS passage FROM {0}, unnest(range(1, len(w) - 13)) AS u(i)"
     return {
+        "p1_found": f"WITH {sql_runs()} SELECT kind, fileid, first_word_idx, last_word_idx FROM runs WHERE n_words >= 2",
+        "p1_runs": f"WITH {sql_runs()} SELECT * FROM runs",
+        "p3_found": f"""SELECT DISTINCT 'word_rows' AS tab, fileid, word_idx AS idx FROM word_rows WHERE text IS NOT NULL AND (NOT regexp_full_match(text, '{SQL_PLAIN}') OR text LIKE ' %' OR text LIKE '% ')
+        UNION SELECT DISTINCT 'elements', fileid, el_id FROM elements WHERE titre IS NOT NULL AND (NOT regexp_full_match(titre, '{SQL_PLAIN}') OR titre LIKE ' %' OR titre LIKE '% ')""",
         "p4_found": rf"""
         WITH items AS ({items}),
         sized AS (SELECT *, list_max(list_transform(regexp_extract_all(texte, '[\pL\pN]+'), lambda x: length(x))) AS longest FROM items)
         SELECT tab, item_id, 'oversized' AS kind FROM sized WHERE length(texte) > max_chars
-        UNION ALL SELECT tab, item_id, 'unbroken' FROM sized WHERE length(texte) > max_chars AND longest > max_chars"""
+        UNION ALL SELECT tab, item_id, 'unbroken' FROM sized WHERE length(texte) > max_chars AND longest > max_chars""",
+        "p6_found": f"""WITH docs AS ({words("documents", "doc_id")}), tests AS ({words("eval_items", "item_id")}),
+        doc_windows AS ({windows.format("docs")}), test_windows AS ({windows.format("tests")})
+        SELECT DISTINCT d.id AS doc_id, t.id AS item_id FROM doc_windows d JOIN test_windows t USING (passage)""",
     }
