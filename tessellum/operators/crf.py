@@ -102,3 +102,42 @@ def explain(chain: Chain, spark, k: int = 50) -> DataFrame:
 def fold_of(*keys: str, folds: int, seed: int = 1381):
     """A fold from 0 for rows of equal keys."""
     return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(folds)).cast("int")
+
+
+def label_ends(df: DataFrame, chain: Chain, out: str = "predicted") -> DataFrame:
+    """(fileid, page, word_idx, out): labels of the first and the last page of each document, O for the words between."""
+    from tessellum.operators.iob import first_and_last_page
+
+    found = label_pages(first_and_last_page(df), chain, out)
+    return df.select("fileid", "page", "word_idx").join(found, ["fileid", "page", "word_idx"], "left").withColumn(out, F.coalesce(out, F.lit("O")))
+
+
+def label_by_tree(df: DataFrame, tagged: Chain, untagged: Chain, out: str = "predicted") -> DataFrame:
+    """Labels by one of two chains: tagged for documents of which any word has tags, untagged for the others."""
+    has = df.groupBy("fileid").agg(F.max(F.when(F.coalesce("tagstack", F.lit("")) != "", 1).otherwise(0)).alias("__tree"))
+    rows = df.join(has, "fileid")
+    return label_pages(rows.where("__tree = 1").drop("__tree"), tagged, out).union(label_pages(rows.where("__tree = 0").drop("__tree"), untagged, out))
+
+
+def grid(df: DataFrame, settings: list[dict], label: str = "seg", folds: int = 4) -> DataFrame:
+    """(setting, f1) of chains trained with each of the settings on all folds of files but the first, macro F1 on that one."""
+    from tessellum.operators import metrics
+
+    rows = df.withColumn("__fold", fold_of("fileid", folds=folds))
+    train_on, test_on = rows.where("__fold > 0").drop("__fold"), rows.where("__fold = 0").drop("__fold")
+    out = []
+    for setting in settings:
+        found = label_pages(test_on, train(train_on, label, **setting)).join(test_on.select("fileid", "page", "word_idx", label), ["fileid", "page", "word_idx"])
+        f1 = metrics.report(found, label, "predicted", F.col("label").startswith("B-")).where("label = 'macro avg'").first()["f1"]
+        out.append((str(sorted(setting.items())), float(f1)))
+    return df.sparkSession.createDataFrame(out, "setting string, f1 double")
+
+
+def save(chain: Chain, path: str) -> None:
+    """Write a chain to a file of arrays; no code is stored."""
+    np.savez_compressed(path, labels=np.array(chain.labels), state=chain.state, move=chain.move, kind=chain.kind, n=chain.n)
+
+
+def load(path: str) -> Chain:
+    with np.load(path) as x:
+        return Chain([str(y) for y in x["labels"]], x["state"], x["move"], str(x["kind"]), int(x["n"]))

@@ -58,3 +58,13 @@ def write_pages(df: DataFrame, folder: str, path: str = "page_path", html: str =
             os.replace(part, target)
 
     df.select(path, html).foreachPartition(write)
+
+
+def redirect_page(target: str) -> str:
+    """A page that leads on to another."""
+    return f'<!DOCTYPE html><html><head><meta http-equiv="refresh" content="0; url={target}"></head><body><a href="{target}">{target}</a></body></html>'
+
+
+def pdf_link(url, page):
+    """Column: a link to a page of the document's PDF; empty without an address."""
+    return F.when(url.isNotNull(), F.concat(F.lit('<a target="_blank" href="'), url, F.lit("#page="), F.coalesce(page.cast("string"), F.lit("1")), F.lit('">PDF</a>'))).otherwise("")

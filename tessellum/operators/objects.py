@@ -110,15 +110,15 @@ def reading_order(blocks: DataFrame, images: DataFrame, merge: Callable[[DataFra
 
     Images on pages without blocks are left out. merge works on the pages with images, e.g. merge_overlaps.
     """
-    with_text = images.join(blocks.select("fileid", "page").distinct(), ["fileid", "page"], "left_semi")
-    shown = with_text.select("fileid", "page").distinct()
-    w = Window.partitionBy("fileid", "page").orderBy("top", "x0", "bottom", "x1")
     columns = ["fileid", "page", "type", "text", *BOX]
-    mixed = blocks.join(shown, ["fileid", "page"], "left_semi").select(*columns).unionByName(with_text.select(*columns)).withColumn("place", F.row_number().over(w))
-    if merge:
-        mixed = merge(mixed).select(*columns, "place")
-    plain = blocks.join(shown, ["fileid", "page"], "left_anti").withColumn("place", F.row_number().over(Window.partitionBy("fileid", "page").orderBy("first_idx"))).select(*columns, "place")
-    return mixed.unionByName(plain)
+    all_rows = blocks.select(*columns, F.col("first_idx").cast("bigint").alias("__at"), F.lit(0).alias("__img")).unionByName(images.select(*columns, F.lit(None).cast("bigint").alias("__at"), F.lit(1).alias("__img")))
+    page = Window.partitionBy("fileid", "page")
+    rows = all_rows.withColumns({"__mixed": F.max("__img").over(page) == 1, "__text": F.min("__img").over(page) == 0}).where("__text")
+    by_place = [F.when(F.col("__mixed"), F.col(c)) for c in ("top", "x0", "bottom", "x1")]
+    rows = rows.withColumn("place", F.row_number().over(page.orderBy(*by_place, "__at")))
+    if merge is None:
+        return rows.select(*columns, "place")
+    return merge(rows.where("__mixed").select(*columns, "place")).select(*columns, "place").unionByName(rows.where("NOT __mixed").select(*columns, "place"))
 
 
 def annotations(blocks: DataFrame, pad: int = 1) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessellum.operators.iob import image_name
+from tessellum.operators.scan import nearest
 from tessellum.schema import LEVELS
 
 # The tags of blocks and elements.
@@ -42,23 +43,23 @@ def block_html(kind: Column, text: Column, links: Column, image_dir: str = ".")
 
 
 def outline_events(blocks: DataFrame) -> DataFrame:
-    """Headings and contents of the blocks in one order: fileid, seq, level (null for contents), type, text, html and fin_seq.
+    """The blocks with level (null for contents), fin_seq and shown; their place in the document is first_idx.
 
-    fin_seq is the seq of the next heading of the same or a higher level, null at the end. A heading is shown if content
-    follows it before its parent ends: the elements that are kept have shown = true, as do their contents.
+    fin_seq is the place of the next heading of the same or a higher level, null at the end. A heading is shown if content
+    follows it before its parent ends; contents always are.
     """
-    w = Window.partitionBy("fileid").orderBy("first_idx")
     lvl = F.try_element_at(F.create_map(*[x for k, t in enumerate(LEVELS) for x in (F.lit(t), F.lit(k))]), F.col("type"))
-    rows = blocks.withColumns({"seq": F.row_number().over(w), "level": lvl})
-    after = Window.partitionBy("fileid").orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
-    ends = F.coalesce(*[F.when(F.col("level") == k, F.last(F.when(F.col("level") <= k, F.col("seq")), True).over(after)) for k in range(len(LEVELS))])
-    following = F.last(F.when(F.col("level").isNull(), F.col("seq")), True).over(after)
-    rows = rows.withColumn("fin_seq", ends).withColumn("__content", following)
-    # The last element before of a higher level is the parent; a heading without content before the parent's end falls away.
-    before = Window.partitionBy("fileid").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    parent = F.coalesce(*[F.when(F.col("level") == k, F.last(F.when(F.col("level") < k, F.struct(F.col("seq").alias("seq"), F.col("fin_seq").alias("fin"))), True).over(before)) for k in range(1, len(LEVELS))])
+    rows = blocks.withColumn("level", lvl)
+    heads, at = range(len(LEVELS)), F.col("first_idx")
+    ahead = {f"__next{k}": F.when(F.col("level") <= k, at) for k in heads} | {"__content": F.when(F.col("level").isNull(), at)}
+    rows = nearest(rows, ahead, "first_idx", "fileid", after=True)
+    rows = rows.withColumn("fin_seq", F.coalesce(*[F.when(F.col("level") == k, F.col(f"__next{k}")) for k in heads]))
+    # The last element before of a higher level is the parent.
+    step = F.struct(at.alias("seq"), F.col("fin_seq").alias("fin"))
+    rows = nearest(rows, {f"__up{k}": F.when(F.col("level") < k, step) for k in heads if k}, "first_idx", "fileid")
+    parent = F.coalesce(*[F.when(F.col("level") == k, F.col(f"__up{k}")) for k in heads if k])
     inside = F.col("__content").isNotNull() & (parent.isNull() | parent["fin"].isNull() | (F.col("__content") < parent["fin"]))
-    return rows.withColumn("shown", F.col("level").isNull() | inside).drop("__content")
+    return rows.withColumn("shown", F.col("level").isNull() | inside).drop("__content", *[f"__next{k}" for k in heads], *[f"__up{k}" for k in heads])
 
 
 def document_html(blocks: DataFrame, links: DataFrame | None = None) -> DataFrame:
@@ -77,8 +78,8 @@ def document_html(blocks: DataFrame, links: DataFrame | None = None) -> DataFram
     header = F.when(F.col("titre_nu") != "", F.concat(F.lit("<"), head, F.lit(' class="header">'), level, F.lit('<span class="title">'), F.col("titre_nu"), F.lit("</span></"), head, F.lit(">"))).otherwise("")
     opens = F.concat(F.lit("<"), tag, F.lit(' class="'), F.col("type"), F.lit('">'), anchor, header)
     event = lambda at, order, depth, html: F.struct(at.alias("at"), order.alias("order"), depth.alias("depth"), html.alias("html"))
-    none = F.lit(2_147_483_647)
-    own = event(F.col("seq"), F.lit(1), F.lit(0), F.when(F.col("level").isNull(), block_html(F.col("type"), F.col("text"), linked)).otherwise(opens))
+    none = F.lit((1 << 62))
+    own = event(F.col("first_idx"), F.lit(1), F.lit(0), F.when(F.col("level").isNull(), block_html(F.col("type"), F.col("text"), linked)).otherwise(opens))
     close = F.when(F.col("level").isNotNull(), event(F.coalesce("fin_seq", none), F.lit(0), -F.col("level"), F.concat(F.lit("</"), tag, F.lit(">"))))
     events = rows.where("shown").select("fileid", F.inline(F.array_compact(F.array(own, close))))
     part = F.struct("at", "order", "depth", "html")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessellum.operators.scan import nearest, running_sum
 from tessellum.schema import LEVELS
+from tessellum.session import materialize
 
 # How the numbers of headings are written. S is white space of any kind, D a digit.
 S, D = r"[\s\p{Z}\x85]", r"\p{Nd}"
@@ -38,30 +40,26 @@ def extract_numbers(df: DataFrame, titre: str = "titre", order: str = "el_id", d
     lead, trail = F.regexp_extract(t, LEADING, 0), F.regexp_extract(t, TRAILING, 2)
     number = F.when(lead != "", F.concat(*[F.regexp_extract(t, LEADING, g) for g in (1, 2, 3)])).when(trail != "", trail)
     rest = F.when(lead != "", F.substring(t, F.length(lead) + 1, F.length(t))).when(trail != "", F.regexp_extract(t, TRAILING, 1)).otherwise(t)
-    w = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     rows = df.withColumns({"__n": number, "titre_nu": rest})
-    unknown = F.sum(F.when(counts & F.col("__n").isNull(), 1).otherwise(0)).over(w) - 1
-    return rows.withColumns({"numero_extrait": F.when(counts, F.coalesce("__n", F.concat(F.lit("_"), unknown.cast("string")))), "titre_nu": F.when(counts, F.col("titre_nu"))}).drop("__n")
+    rows = running_sum(rows, F.when(counts & F.col("__n").isNull(), 1).otherwise(0), "__unknown", order, doc)
+    made = F.concat(F.lit("_"), (F.col("__unknown") - 1).cast("string"))
+    return rows.withColumns({"numero_extrait": F.when(counts, F.coalesce("__n", made)), "titre_nu": F.when(counts, F.col("titre_nu"))}).drop("__n", "__unknown")
 
 
 def close_intervals(df: DataFrame, order: str = "el_id", doc: str = "fileid") -> DataFrame:
-    """df with fin_calcule, the start of the next element of the same or a higher level, -1 where none follows.
-
-    One window expression a level, so one exchange and one sort for all; they run from the end, as only frames that grow take
-    time in proportion to the rows.
-    """
-    w = Window.partitionBy(doc).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.withColumn("__lvl", level(F.col("type")))
-    ends = [F.when(F.col("__lvl") == k, F.last(F.when(F.col("__lvl") <= k, F.col("debut")), True).over(w)) for k in range(len(LEVELS))]
-    return rows.withColumn("fin_calcule", F.coalesce(*ends, F.lit(-1))).drop("__lvl")
+    """df with fin_calcule, the start of the next element of the same or a higher level, -1 where none follows."""
+    lvl = level(F.col("type"))
+    rows = nearest(df, {f"__next{k}": F.when(lvl <= k, F.col("debut")) for k in range(len(LEVELS))}, order, doc, after=True)
+    ends = [F.when(lvl == k, F.col(f"__next{k}")) for k in range(len(LEVELS))]
+    return rows.withColumn("fin_calcule", F.coalesce(*ends, F.lit(-1))).drop(*[f"__next{k}" for k in range(len(LEVELS))])
 
 
 def find_parents(df: DataFrame, order: str = "el_id", doc: str = "fileid") -> DataFrame:
     """df with parent: the order of the last element before of a higher level, null under the document itself."""
-    w = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.withColumn("__lvl", level(F.col("type")))
-    parents = [F.when(F.col("__lvl") == k, F.last(F.when(F.col("__lvl") < k, F.col(order)), True).over(w)) for k in range(1, len(LEVELS))]
-    return rows.withColumn("parent", F.coalesce(*parents)).drop("__lvl")
+    lvl = level(F.col("type"))
+    rows = nearest(df, {f"__up{k}": F.when(lvl < k, F.col(order)) for k in range(1, len(LEVELS))}, order, doc)
+    parents = [F.when(lvl == k, F.col(f"__up{k}")) for k in range(1, len(LEVELS))]
+    return rows.withColumn("parent", F.coalesce(*parents)).drop(*[f"__up{k}" for k in range(1, len(LEVELS))])
 
 
 def ancestor_paths(df: DataFrame, order: str = "el_id", doc: str = "fileid") -> DataFrame:
@@ -70,11 +68,11 @@ def ancestor_paths(df: DataFrame, order: str = "el_id", doc: str = "fileid") ->
     Levels rise by one a step at least, so an element has at most five ancestors below the document. Each is the last
     element before of its level that no higher one has closed: windows again, no join.
     """
-    w = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     step = F.struct(F.col(order).alias("at"), F.col("__lvl").alias("lvl"), F.array("type", F.coalesce("numero", F.lit(""))).alias("name"))
     rows = df.withColumn("__lvl", level(F.col("type")))
-    last = [F.last(F.when(F.col("__lvl") == k, step), True).over(w) for k in range(1, len(LEVELS))]
-    rows = rows.withColumn("__last", F.array(*last))
+    names = [f"__last{k}" for k in range(1, len(LEVELS))]
+    rows = nearest(rows, {n: F.when(F.col("__lvl") == k, step) for k, n in enumerate(names, 1)}, order, doc)
+    rows = rows.withColumn("__last", F.array(*names)).drop(*names)
 
     def up(acc: Column, x: Column) -> Column:
         """From the lowest level up: an element is an ancestor if it stands before every lower one taken and is of a higher level."""
@@ -118,7 +116,7 @@ def zones(df: DataFrame, order: str = "el_id", doc: str = "fileid", chapter: str
 
     Sections named dispositions are passed over with what is below them. The last of equal codes counts.
     """
-    rows = find_parents(df, order, doc)
+    rows = materialize(find_parents(df, order, doc), "parents")
     title = F.lower(F.coalesce("titre", F.lit("")))
     top = rows.where((F.col("type") == "Chapitre") & F.contains(title, F.lit(chapter))).groupBy(doc).agg(F.min(F.struct(order, "numero")).alias("c"))
     child = rows.select(doc, F.col(order).alias("id"), "parent", "type", "titre", F.coalesce("numero", F.lit("")).alias("n"))
@@ -134,16 +132,15 @@ def zones(df: DataFrame, order: str = "el_id", doc: str = "fileid", chapter: str
 
 def contents_tree(df: DataFrame, order: str = "el_id", doc: str = "fileid") -> DataFrame:
     """df with opens and closes, the mark-up before and after each element in a nested list of the document's outline."""
-    w = Window.partitionBy(doc).orderBy(order)
-    rows = ancestor_paths(df, order, doc).withColumn("depth", (F.size("path") / 2).cast("int"))
-    after = F.coalesce(F.lead("depth").over(w), F.lit(1))
+    rows = nearest(ancestor_paths(df, order, doc).withColumn("depth", (F.size("path") / 2).cast("int")), {"__after": F.col("depth")}, order, doc, after=True)
+    after = F.coalesce("__after", F.lit(1))
     leaf = after <= F.col("depth")
     label = display_title(F.col("type"), F.col("numero"), F.col("titre"))
     href = F.concat_ws("/", F.col(doc), F.array_join("path", "/"), F.lit("index.html"))
     link = F.concat(F.lit('<a href="'), href, F.lit('">'), label, F.lit("</a>"))
     opens = F.when(leaf, F.concat(F.lit('<li class="leaf '), F.col("type"), F.lit('">'), link, F.lit("</li>"))).otherwise(F.concat(F.lit('<li class="node '), F.col("type"), F.lit('"><details><summary>'), label, F.lit("</summary><ul><li>"), link, F.lit("</li>")))
     closes = F.when(F.col("depth") > after, F.repeat(F.lit("</ul></details></li>"), F.col("depth") - after)).otherwise("")
-    return rows.withColumns({"opens": opens, "closes": closes})
+    return rows.withColumns({"opens": opens, "closes": closes}).drop("__after")
 
 
 def outline_html(df: DataFrame, order: str = "el_id", doc: str = "fileid") -> DataFrame:
@@ -173,8 +170,6 @@ def tag_paths(nodes: DataFrame, doc: str = "fileid", node: str = "node", parent:
 
     Joined level by level, as deep as the deepest node; each step moves only the level found last.
     """
-    from tessellum.session import materialize
-
     below = nodes.select(doc, F.col(parent).alias("__up"), F.col(node).alias("__node"), F.col(tag).alias("__tag"))
     found = [below.where("__up IS NULL").select(doc, F.col("__node").alias(node), F.col("__tag").alias("tagstack"))]
     while True:

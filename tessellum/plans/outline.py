@@ -9,6 +9,7 @@ from tessellum.operators import iob, links, render, structure
 from tessellum.plans import document
 from tessellum.plans.registry import Registry
 from tessellum.schema import LEVELS
+from tessellum.session import materialize
 from tessellum.tables import table
 
 LEVEL = "CASE type " + " ".join(f"WHEN '{t}' THEN {k}" for k, t in enumerate(LEVELS)) + " END"
@@ -23,9 +24,8 @@ RE2 = lambda p: p.replace(r"\x85", r"\x{0085}").replace("'", "''")
 
 
 def tidy(spark: SparkSession, d: str) -> DataFrame:
-    """Each element once; the exchange by file serves the windows after it."""
-    rows = table(spark, d, "elements").where("fileid IS NOT NULL AND el_id IS NOT NULL").drop("loaded_at")
-    return rows.repartition("fileid").dropDuplicates(["fileid", "el_id"])
+    """Each element once."""
+    return table(spark, d, "elements").where("fileid IS NOT NULL AND el_id IS NOT NULL").drop("loaded_at").dropDuplicates(["fileid", "el_id"])
 
 
 LEAD, TRAIL = RE2(structure.LEADING), RE2(structure.TRAILING)
@@ -282,7 +282,7 @@ def bloc_html(spark, d):
 
 def numbered_blocks(spark: SparkSession, d: str) -> DataFrame:
     """Blocks with number and bare title where they are headings."""
-    blocks = iob.group_blocks(document.tidy(spark, d))
+    blocks = materialize(iob.group_blocks(document.tidy(spark, d)), "blocks")
     return structure.extract_numbers(blocks, "text", "first_idx", heading=F.col("type").isin(*LEVELS)).withColumnRenamed("numero_extrait", "numero")
 
 
