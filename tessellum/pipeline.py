@@ -47,16 +47,22 @@ def pages(words: DataFrame) -> DataFrame:
     return render.document_html(parts["blocks"], resolved_links(parts["blocks"], parts["elements"], parts["documents"]))
 
 
+def open_elements(blocks: DataFrame) -> DataFrame:
+    """blocks with within, the places of the elements whose intervals hold a block, the highest first; a heading's own is its last."""
+    at, lvl = F.col("first_idx"), structure.level(F.col("type"))
+    names = [f"__last{k}" for k in range(len(LEVELS))]
+    rows = nearest(blocks, {n: F.when(lvl == k, at) for k, n in enumerate(names)}, "first_idx", "fileid")
+    last = [F.when(lvl == k, at).otherwise(F.col(n)) for k, n in enumerate(names)]
+    # An element is open until the next one of its level or a higher one.
+    still = [F.when(x > F.greatest(F.lit(-1), F.lit(-1), *last[:k]), x) for k, x in enumerate(last)]
+    return rows.withColumn("within", F.array_compact(F.array(*still))).drop(*names)
+
+
 def search_documents(elements: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(ref, url, titre, texte): each element with the contents below it up to the next one, to be indexed."""
-    owner = links_owner(blocks)
-    texts = owner.groupBy("fileid", F.col("owner").alias("el_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_idx", "text"))), lambda x: x["text"]), "\n\n").alias("texte"))
+    """(ref, url, titre, texte): each element with all contents of its interval, those of the elements below it too, to be indexed."""
+    contents = open_elements(blocks).where(F.col("type").isin(*[t for t, tag in render.BLOCK_TAGS.items() if tag]))
+    inside = contents.select("fileid", F.explode("within").alias("el_id"), "first_idx", "text")
+    texts = inside.groupBy("fileid", "el_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_idx", "text"))), lambda x: x["text"]), "\n\n").alias("texte"))
     e = structure.page_paths(elements)
     title = structure.display_title(F.col("type"), F.col("numero"), F.col("titre"))
     return e.join(texts, ["fileid", "el_id"], "left").select(F.xxhash64("fileid", "el_id").alias("ref"), F.col("page_path").alias("url"), title.alias("titre"), F.coalesce("texte", F.lit("")).alias("texte"))
-
-
-def links_owner(blocks: DataFrame) -> DataFrame:
-    """Contents with owner, the place of the last heading before them; contents before any heading have none and are left out."""
-    rows = nearest(blocks, {"owner": F.when(F.col("type").isin(*LEVELS), F.col("first_idx"))}, "first_idx", "fileid")
-    return rows.where(~F.col("type").isin(*LEVELS) & F.col("owner").isNotNull() & F.col("type").isin(*[t for t, tag in render.BLOCK_TAGS.items() if tag]))

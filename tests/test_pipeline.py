@@ -7,7 +7,7 @@ import pytest
 from tessellum import pipeline
 from tessellum.__main__ import parser, run
 from tessellum.operators.words import tidy_words
-from tessellum.schema import WORD_COLUMNS
+from tessellum.schema import LEVELS, WORD_COLUMNS
 from tessellum.sources import files
 
 LINES = [
@@ -45,6 +45,25 @@ def test_pages(spark, folder):
     assert html.count("<article") == html.count("</article>") == 2 and "page 1" not in html
 
 
+def test_elements_are_indexed_with_what_is_below_them(spark, folder):
+    parts = pipeline.analyse(tidy_words(files.read_words(spark, folder)))
+    texts = {r["url"]: r["texte"] for r in pipeline.search_documents(parts["elements"], parts["blocks"]).collect()}
+    one, two = LINES[3][2], LINES[5][2]
+    assert texts == {"doc/Chapitre/I/index.html": f"{one}\n\n{two}", "doc/Article/1/index.html": one, "doc/Article/2/index.html": two}
+
+
+def test_open_elements(spark):
+    types = ["Alinea", "Chapitre", "Article", "Alinea", "Section", "Alinea", "SousSection", "Article", "Liste", "Section", "Alinea", "Annexe", "Alinea"]
+    rows = spark.createDataFrame([("d", k, t) for k, t in enumerate(types)], "fileid string, first_idx bigint, type string")
+    found = [r["within"] for r in pipeline.open_elements(rows).orderBy("first_idx").collect()]
+    stack, want = [], []
+    for k, t in enumerate(types):
+        if t in LEVELS:
+            stack = [x for x in stack if LEVELS.index(types[x]) < LEVELS.index(t)] + [k]
+        want.append(list(stack))
+    assert found == want
+
+
 def test_commands(spark, folder, tmp_path):
     go = lambda *a: run(parser().parse_args([str(x) for x in a]), spark)
     go("extract", folder, tmp_path / "pages")
