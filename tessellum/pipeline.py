@@ -31,14 +31,28 @@ def analyse(words: DataFrame) -> dict[str, DataFrame]:
     return {"blocks": counted.drop("debut"), "elements": elements, "documents": materialize(documents, "documents")}
 
 
+def zone_pages(elements: DataFrame, documents: DataFrame) -> DataFrame:
+    """(code, url) of the zones, by the first document called one of zonage that has any."""
+    found = structure.zones(elements)
+    named = documents.where(F.contains(F.lower("titre"), F.lit("zonage"))).select("fileid")
+    first = found.join(named, "fileid", "left_semi").agg(F.min("fileid").alias("fileid"))
+    return found.where("kind = 'milieu'").join(F.broadcast(first), "fileid", "left_semi").select("code", "url")
+
+
+def resolve(refs: DataFrame, elements: DataFrame, documents: DataFrame) -> DataFrame:
+    """refs (of references, with srcpath) with href: the address of the law that is cited, else the zone's page, else the by-law's or section's."""
+    register = documents.select(F.col("fileid").alias("docpath"), "numero", "titre", F.col("fileid").alias("ord"))
+    found = links.resolve_internal(refs.withColumn("cite", F.coalesce("alt", "quote")), register, elements, "cite")
+    found = links.resolve_zone(found, zone_pages(elements, documents), "cite")
+    return found.withColumn("href", F.coalesce(links.resolve_external(F.col("cite")), "zone_href", "href")).drop("zone_href")
+
+
 def resolved_links(blocks: DataFrame, elements: DataFrame, documents: DataFrame) -> DataFrame:
     """(fileid, first_idx, links): the references in contents with the addresses they lead to from their document's page, in order."""
     contents = blocks.where(~F.col("type").isin(*LEVELS))
-    refs = links.references(contents, "text", "fileid", "first_idx").withColumns({"cite": F.coalesce("alt", "quote"), "srcpath": F.lit(".")})
-    register = documents.select(F.col("fileid").alias("docpath"), "numero", "titre", F.col("fileid").alias("ord"))
-    found = links.resolve_internal(refs, register, elements, "cite")
-    link = F.struct(F.col("start"), F.col("stop").alias("end"), F.coalesce(links.resolve_external(F.col("cite")), F.col("href")).alias("href"))
-    return found.groupBy("fileid", "first_idx").agg(F.array_sort(F.collect_list(link)).alias("links"))
+    refs = links.references(contents, "text", "fileid", "first_idx").withColumn("srcpath", F.lit("."))
+    link = F.struct(F.col("start"), F.col("stop").alias("end"), "href")
+    return resolve(refs, elements, documents).groupBy("fileid", "first_idx").agg(F.array_sort(F.collect_list(link)).alias("links"))
 
 
 def pages(words: DataFrame) -> DataFrame:
