@@ -35,7 +35,7 @@ def parser() -> argparse.ArgumentParser:
     add("label", "label titles and numbers on first and last pages", model=True)
     add("html", "documents as HTML")
     add("json", "outlines as JSON")
-    add("extract", "documents as a folder of pages")
+    add("extract", "documents, their elements and lists of these as a folder of pages")
     add("annotate", "rectangles to draw on pages, as CSV")
     add("index", "documents to be searched, as parquet")
     find = sub.add_parser("search", help="search an index")
@@ -65,12 +65,10 @@ def run(args: argparse.Namespace, spark: SparkSession) -> DataFrame | None:
         files.write_words(labelled(chosen, crf.label_pages(tidy_words(chosen), crf.load(args.model)), "segment"), args.out)
     elif args.command == "label":
         files.write_words(labelled(raw, crf.label_ends(words, crf.load(args.model)), "sequence"), args.out)
-    elif args.command in ("html", "extract"):
-        made = pipeline.pages(words)
-        if args.command == "html":
-            made.write.mode("overwrite").parquet(args.out)
-        else:
-            export.write_pages(made.withColumn("page_path", F.concat("fileid", F.lit("/index.html"))), args.out)
+    elif args.command == "html":
+        pipeline.pages(words).write.mode("overwrite").parquet(args.out)
+    elif args.command == "extract":
+        export.write_pages(pipeline.page_tree(words), args.out)
     elif args.command == "json":
         export.elements_json(pipeline.analyse(words)["elements"]).write.mode("overwrite").json(args.out)
     elif args.command == "annotate":

@@ -31,13 +31,14 @@ def splice(text: Column, links: Column) -> Column:
     return F.aggregate(F.coalesce(links, F.array().cast("array<struct<start:int,end:int,href:string>>")), zero, add, lambda acc: F.concat(acc["html"], F.substr(text, acc["at"] + 1, F.length(text))))
 
 
-def block_html(kind: Column, text: Column, links: Column, image_dir: str = ".") -> Column:
+def block_html(kind: Column, text: Column, links: Column, image_dir: str | Column = ".") -> Column:
     """HTML of a block; nothing for page heads, feet and contents, a picture for tables and figures. Text is not escaped.
 
     A type that is no block's is an error. Pictures are named by the columns page, x0, top, x1, bottom.
     """
     tag = lookup(BLOCK_TAGS, kind)
-    picture = F.concat(F.lit('<img alt="'), text, F.lit(f'" src="{"" if image_dir == "." else image_dir + "/"}'), image_name(), F.lit('"><br>'))
+    folder = F.concat(image_dir, F.lit("/")) if isinstance(image_dir, Column) else F.lit("" if image_dir == "." else image_dir + "/")
+    picture = F.concat(F.lit('<img alt="'), text, F.lit('" src="'), folder, image_name(), F.lit('"><br>'))
     body = F.concat(F.lit("<"), tag, F.lit(">"), splice(text, links), F.lit("</"), tag, F.lit(">"))
     return F.when(tag.isNull(), F.raise_error(F.concat(F.lit("no block type: "), kind))).when(tag == "", "").when(tag == "img", picture).otherwise(body)
 
@@ -65,22 +66,30 @@ def outline_events(blocks: DataFrame) -> DataFrame:
 def document_html(blocks: DataFrame, links: DataFrame | None = None) -> DataFrame:
     """(fileid, html) of whole documents from their blocks (of group_blocks, with numero and titre_nu where headings have them).
 
-    Each heading opens an element before itself and closes it before the next of its level or higher; sorting opens, contents
-    and closes by place and level gives the nested text without recursion. links has fileid, first_idx and links, an array of
-    start, end, href.
+    links has fileid, first_idx and links, an array of start, end, href.
     """
     rows = outline_events(blocks if links is None else blocks.join(links, ["fileid", "first_idx"], "left"))
     linked = F.col("links") if links is not None else F.lit(None).cast("array<struct<start:int,end:int,href:string>>")
+    return nested_html(rows.where("shown"), linked, ["fileid"])
+
+
+def nested_html(rows: DataFrame, linked: Column, page: list[str], root: Column | None = None, image_dir: str | Column = ".") -> DataFrame:
+    """(page, html) of rows of outline_events, grouped by the columns of a page.
+
+    Each heading opens an element before itself and closes it before the next of its level or higher; sorting opens, contents
+    and closes by place and level gives the nested text without recursion. A heading for which root holds has no anchor.
+    """
     tag, head = lookup(ELEMENT_TAGS, F.col("type")), lookup(HEADER_TAGS, F.col("type"))
     number = F.coalesce("numero", F.lit(""))
     level = F.when(~F.startswith(number, F.lit("_")), F.concat(F.lit('<span class="level">'), F.col("type"), F.lit('</span><span class="number">'), number, F.lit("</span>"))).otherwise("")
-    anchor = F.when(number != "", F.concat(F.lit('<a class="anchor" name="'), F.col("type"), F.lit("/"), number, F.lit('"></a>'))).otherwise("")
+    anchored = number != "" if root is None else (number != "") & ~root
+    anchor = F.when(anchored, F.concat(F.lit('<a class="anchor" name="'), F.col("type"), F.lit("/"), number, F.lit('"></a>'))).otherwise("")
     header = F.when(F.col("titre_nu") != "", F.concat(F.lit("<"), head, F.lit(' class="header">'), level, F.lit('<span class="title">'), F.col("titre_nu"), F.lit("</span></"), head, F.lit(">"))).otherwise("")
     opens = F.concat(F.lit("<"), tag, F.lit(' class="'), F.col("type"), F.lit('">'), anchor, header)
     event = lambda at, order, depth, html: F.struct(at.alias("at"), order.alias("order"), depth.alias("depth"), html.alias("html"))
     none = F.lit((1 << 62))
-    own = event(F.col("first_idx"), F.lit(1), F.lit(0), F.when(F.col("level").isNull(), block_html(F.col("type"), F.col("text"), linked)).otherwise(opens))
+    own = event(F.col("first_idx"), F.lit(1), F.lit(0), F.when(F.col("level").isNull(), block_html(F.col("type"), F.col("text"), linked, image_dir)).otherwise(opens))
     close = F.when(F.col("level").isNotNull(), event(F.coalesce("fin_seq", none), F.lit(0), -F.col("level"), F.concat(F.lit("</"), tag, F.lit(">"))))
-    events = rows.where("shown").select("fileid", F.inline(F.array_compact(F.array(own, close))))
+    events = rows.select(*page, F.inline(F.array_compact(F.array(own, close))))
     part = F.struct("at", "order", "depth", "html")
-    return events.groupBy("fileid").agg(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda x: x["html"]), "").alias("html"))
+    return events.groupBy(*page).agg(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda x: x["html"]), "").alias("html"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessellum.operators import iob, links, render, structure
@@ -72,6 +72,58 @@ def open_elements(blocks: DataFrame) -> DataFrame:
     return rows.withColumn("within", F.array_compact(F.array(*still))).drop(*names)
 
 
+#: Before the title, between it and the contents, and after them.
+PAGE = ('<!DOCTYPE html>\n<html lang="fr"><head><meta charset="UTF-8"><title>', '</title></head><body><div class="container"><h1 id="header">', '</h1><div id="body">', "</div></div></body></html>\n")
+
+
+def page_tree(words: DataFrame) -> DataFrame:
+    """(page_path, html): each document as one page, a page for each of its elements with all below it, and the lists of elements.
+
+    Articles and annexes are listed by document, of the other types those right below the document. Of elements with one path
+    the last counts.
+    """
+    parts = analyse(words)
+    blocks, elements, documents = parts["blocks"], parts["elements"], parts["documents"]
+    last = structure.page_paths(elements).groupBy("fileid", "page_path").agg(F.max("el_id").alias("on"), F.max_by("titre", "el_id").alias("name"))
+    whole = documents.select("fileid", F.concat("fileid", F.lit("/index.html")).alias("page_path"), F.lit(-1).cast("bigint").alias("on"), F.col("titre").alias("name"))
+    # The file is passed through an expression, as Spark 4.1 may take a union of parts that are split alike for split itself.
+    every = materialize(whole.unionByName(last.withColumn("fileid", F.concat("fileid", F.lit("")))), "page-list")
+    inner = F.expr("substring(page_path, length(fileid) + 2, length(page_path) - length(fileid) - 12)")
+    every = every.withColumn("srcpath", F.coalesce(F.nullif(inner, F.lit("")), F.lit(".")))
+    placed = materialize(open_elements(render.outline_events(blocks)).withColumn("on", F.explode(F.concat(F.array(F.lit(-1).cast("bigint")), "within"))), "placed")
+    rows = placed.join(every, ["fileid", "on"])
+    contents = blocks.where(~F.col("type").isin(*LEVELS))
+    refs = links.references(contents, "text", "fileid", "first_idx").join(rows.select("fileid", "first_idx", "on", "srcpath"), ["fileid", "first_idx"])
+    link = F.struct(F.col("start"), F.col("stop").alias("end"), "href")
+    linked = resolve(refs, elements, documents).groupBy("fileid", "on", "first_idx").agg(F.array_sort(F.collect_list(link)).alias("links"))
+    own = F.col("first_idx") == F.col("on")
+    back = F.when(F.col("srcpath") == ".", "img").otherwise(F.concat(F.repeat(F.lit("../"), F.size(F.split("srcpath", "/"))), F.lit("img")))
+    body = render.nested_html(rows.where(F.col("shown") | own).join(linked, ["fileid", "on", "first_idx"], "left"), F.col("links"), ["fileid", "on"], own, back)
+    titled = documents.select("fileid", F.col("titre").alias("doc_titre"), F.col("numero").alias("doc_numero"))
+    named = F.when(F.col("doc_titre") == "Document", F.col("name")).when(F.col("doc_numero") != "", F.concat("doc_numero", F.lit(" "), "doc_titre")).otherwise(F.col("doc_titre"))
+    made = every.join(body, ["fileid", "on"], "left").join(titled, "fileid")
+    pages = made.select("page_path", wrapped(F.coalesce("name", F.lit("")), F.coalesce(named, F.lit("")), F.coalesce("html", F.lit(""))).alias("html"))
+    return pages.union(section_pages(elements, documents))
+
+
+def section_pages(elements: DataFrame, documents: DataFrame) -> DataFrame:
+    """(page_path, html): the lists of a document's articles and annexes, and of the elements of other types right below it."""
+    listed = elements.where(F.col("type").isin("Article", "Annexe") | F.col("parent").isNull())
+    title, number = F.coalesce("titre", F.lit("")), F.coalesce("numero", F.lit(""))
+    unknown = F.startswith(number, F.lit("_"))
+    shown = F.when(title != "", title).otherwise(F.concat("type", F.when(unknown, F.lit(" (numéro inconnu)")).otherwise(F.concat(F.lit(" "), number))))
+    item = F.concat(F.lit("<li>"), F.when(unknown, "").otherwise(F.concat(F.lit('<span class="number">'), number, F.lit("</span>"))), F.lit('<a href="'), number, F.lit('/index.html" class="title">'), shown, F.lit("</a></li>"))
+    lists = listed.groupBy("fileid", "type").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("el_id", item.alias("html")))), lambda x: x["html"]), "").alias("items"))
+    doc = documents.select("fileid", F.when(F.col("titre") == "Document", F.col("fileid")).otherwise(F.col("titre")).alias("doc_titre"))
+    name = F.concat("doc_titre", F.lit(": "), "type", F.lit("s"))
+    return lists.join(doc, "fileid").select(F.concat_ws("/", "fileid", "type", F.lit("index.html")).alias("page_path"), wrapped(name, name, F.concat(F.lit("<ul>"), "items", F.lit("</ul>"))).alias("html"))
+
+
+def wrapped(title: Column, banner: Column, body: Column) -> Column:
+    """A whole page."""
+    return F.concat(F.lit(PAGE[0]), title, F.lit(PAGE[1]), banner, F.lit(PAGE[2]), body, F.lit(PAGE[3]))
+
+
 def search_documents(elements: DataFrame, blocks: DataFrame) -> DataFrame:
     """(ref, url, titre, texte): each element with all contents of its interval, those of the elements below it too, to be indexed."""
     contents = open_elements(blocks).where(F.col("type").isin(*[t for t, tag in render.BLOCK_TAGS.items() if tag]))

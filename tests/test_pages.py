@@ -1,8 +1,10 @@
 import csv
+import re
 
 import pytest
 
 from tessellum import pipeline
+from tessellum.__main__ import parser, run
 from tessellum.operators.words import tidy_words
 from tessellum.schema import WORD_COLUMNS
 from tessellum.sources import files
@@ -32,3 +34,17 @@ def test_zones_come_between_laws_and_bylaws(spark, words):
     html = pipeline.pages(tidy_words(files.read_words(spark, words))).collect()[0]["html"]
     page = '<a target="_blank" href="../doc/Chapitre/2/Section/1/SousSection/4/index.html">'
     assert f"Les types de milieux {page}T3.3</a> et T9.9, le {page}type de milieu T3.3 du règlement de zonage</a>." in html
+
+
+def test_each_element_has_a_page(spark, words, tmp_path):
+    run(parser().parse_args(["extract", words, str(tmp_path)]), spark)
+    section, below = "doc/Chapitre/2/Section/1", "doc/Chapitre/2/Section/1/SousSection/4"
+    found = {str(p.relative_to(tmp_path).parent): p.read_text(encoding="utf-8") for p in tmp_path.rglob("*.html")}
+    assert set(found) == {"doc", "doc/Chapitre", "doc/Chapitre/2", section, below}
+    assert '<a href="2/index.html" class="title">Milieux et zones</a>' in found["doc/Chapitre"]
+    assert all("T3.3</a> et T9.9" in found[x] for x in ("doc", "doc/Chapitre/2", section, below))
+    assert '<section class="Section"><h2' in found[section] and 'name="SousSection/4"' in found[section] and 'class="Chapitre"' not in found[section]
+    assert all(html.count("<section") == html.count("</section>") for html in found.values())
+    for path, html in found.items():
+        hrefs = re.findall(r'target="_blank" href="([^"#]*)"', html)
+        assert len(hrefs) == 2 and all((tmp_path / path / x).resolve() == tmp_path / below / "index.html" for x in hrefs) or path == "doc/Chapitre"
