@@ -305,8 +305,8 @@ def element_html(spark, d):
 
 
 def linked_html(spark, d):
-    """Paragraphs with the laws they cite as links."""
-    blocks = iob.group_blocks(document.tidy(spark, d)).where("type IN ('Alinea', 'Liste')")
+    """Blocks with the laws they cite as links."""
+    blocks = iob.group_blocks(document.tidy(spark, d)).where(F.col("type").isin(*render.BLOCK_TAGS))
     found = F.transform(links.find_references(F.col("text")), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), links.resolve_external(F.coalesce(x["alt"], F.substr(F.col("text"), x["start"] + 1, x["end"] - x["start"]))).alias("href")))
     return blocks.select("fileid", "first_idx", render.block_html(F.col("type"), F.col("text"), found).alias("html"))
 

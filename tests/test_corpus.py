@@ -6,3 +6,8 @@ def test_crf_decode_labels_every_word(spark, sf_dir):
     keys = ["fileid", "page", "word_idx"]
     found, words = entry.queries()["crf_decode"](spark, sf_dir).select(keys), document.tidy(spark, sf_dir).select(keys)
     assert found.exceptAll(words).isEmpty() and words.exceptAll(found).isEmpty()
+
+
+def test_linked_html_has_every_block(spark, sf_dir):
+    linked, plain = (entry.queries()[q](spark, sf_dir).select("fileid", "first_idx") for q in ("linked_html", "bloc_html"))
+    assert linked.exceptAll(plain).isEmpty() and plain.exceptAll(linked).isEmpty()
