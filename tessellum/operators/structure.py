@@ -98,9 +98,17 @@ def document_title(titre: Column) -> tuple[Column, Column]:
 
 
 def natural_key(text: Column) -> Column:
-    """A sort key in which numbers inside of a text count by value: digits padded to 20, as one string."""
+    """A sort key in which numbers inside of a text count by value, as one string: digits padded to 20.
+
+    A number of more digits has a colon, which sorts after digits, and its count of digits, padded to 10, before them.
+    """
     parts = F.regexp_extract_all(text, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1))
-    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^[0-9]"), F.lpad(x, 20, "0")).otherwise(x)), "")
+
+    def key(x: Column) -> Column:
+        bare = F.ltrim(x, F.lit("0"))
+        return F.when(F.length(bare) > 20, F.concat(F.lit(":"), F.lpad(F.length(bare).cast("string"), 10, "0"), bare)).otherwise(F.lpad(bare, 20, "0"))
+
+    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^[0-9]"), key(x)).otherwise(x)), "")
 
 
 def display_title(kind: Column, numero: Column, titre: Column) -> Column:

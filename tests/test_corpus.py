@@ -1,4 +1,7 @@
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
+from tessellum.operators import structure
 from tessellum.plans import document
 
 
@@ -11,3 +14,10 @@ def test_crf_decode_labels_every_word(spark, sf_dir):
 def test_linked_html_has_every_block(spark, sf_dir):
     linked, plain = (entry.queries()[q](spark, sf_dir).select("fileid", "first_idx") for q in ("linked_html", "bloc_html"))
     assert linked.exceptAll(plain).isEmpty() and plain.exceptAll(linked).isEmpty()
+
+
+def test_natural_key_of_long_numbers(spark):
+    numbers = [0, 7, 10, 10**19, 10**20 - 1, 10**20, 10**20 + 1, 10**20 + 2, 3 * 10**20, 10**21, 10**25 + 1, 10**25 + 2]
+    rows = spark.createDataFrame([(k, f"n {'0' * (k % 3)}{x} b") for k, x in enumerate(numbers)], "k int, t string")
+    keys = [r["s"] for r in rows.select("k", structure.natural_key(F.col("t")).alias("s")).orderBy("k").collect()]
+    assert keys == sorted(set(keys))
