@@ -1,6 +1,8 @@
+import time
+
 import pytest
 
-from tessellum.llm.sentences import split_sentences
+from tessellum.llm.sentences import Reader, Tally, split_sentences
 
 # Documents with a bar where a sentence ends; the white space after it stays.
 CASES = [
@@ -19,6 +21,16 @@ CASES = [
     "डॉ. Chasidré ने योजना क्र. 323 पर हस्ताक्षर किए।| आवेदक धारा 59 का पालन करेगा।|",
     "يمنع الردم على ضفة النهر!| سأل المالك: «هل أحتاج إلى رخصة؟» ثم غادر المكتب.| عرض القطعة 26.6 م وعمقها 10.2 م.|",
     "รั้วต้องสูงไม่เกิน 63 เมตรตลอดแนว| คณะกรรมการพิจารณาแผนผังของเขต|\n\nรั้วและกำแพง|",
+    "Mieszka przy ul. żółtej od lat.| Dom stoi dalej, ul. źródlana też.| Koniec.|",
+    "Bydlí v čtvrti, str. čtvrtá platí.| Ředitel odešel.|",
+    "Δες σελ. δύο του σχεδίου.| Ποιος υπογράφει;| Έτσι τελειώνει.|",
+    "ផ្ទះនេះធំ។| ផ្លូវនេះវែង។|",
+    "ဒီအိမ်ကကြီးတယ်၊ လှတယ်။| လမ်းကရှည်တယ်။|",
+    "ቤቱ ትልቅ ነው።| መንገዱ ረጅም ነው።|",
+    "Տունը մեծ է։| Ճանապարհը երկար է։|",
+    "ཁང་པ་ཆེན་པོ་རེད། །| ལམ་རིང་པོ་རེད།|",
+    "बाड़ की ऊँचाई कम है।| ঘরটি বড়।| பெரிய வீடு. சாலை நீளமானது.|".replace(". சா", ".| சா"),
+    "Die Sitzung war am 7. Oktober 2004 im Haus.| Der Antrag vom 9. Oktober liegt vor.| Es gilt Artikel 12.| Der Rat tagt.|",
     "Une largeur d'au moins 25,5 mètres\nen bordure de la route 9.| 73 jours suffisent\npour corriger la demande.|Le réseau est prêt.|",
 ]
 
@@ -85,3 +97,38 @@ def test_spans_do_not_overlap_and_cover_all_but_white_space(spark, sf_dir):
             assert a >= at and b > a and not text[at:a].strip() and text[a:b] == text[a:b].strip()
             at = b
         assert not text[at:].strip()
+
+
+@pytest.mark.parametrize("loose", [5, 19, 20, 21, 30, 1000])
+def test_loose_brackets_change_nothing(loose):
+    text = "( " * loose + "Il dit « Non. » et part. Une autre fin."
+    assert ends(text)[-2:] == [text.index(" Une"), len(text)]
+    assert len(ends("« " + "( " * loose + "Non. » et part. Fin.")) == 2
+
+
+def ends(text):
+    return [m >> 31 for m in Reader(text, Tally()).read()[1]]
+
+
+@pytest.mark.parametrize("indent", [0, 8, 12, 13, 200])
+def test_list_numbers_stay_with_their_sentence(indent):
+    text = "Sont exigés;\n" + " " * indent + "12. Un plan.\n\nFin."
+    assert ends(text) == [text.index("\n\nFin"), len(text)]
+
+
+@pytest.mark.parametrize("letters", [3, 39, 40, 41, 500])
+def test_tokens_are_read_whole(letters):
+    text = f"Un 1{'x' * letters}. Deux."
+    tally = Tally()
+    Reader(text, tally).read()
+    assert (f"1{'x' * letters}", "deux") in tally.after
+
+
+def test_long_texts_take_linear_time():
+    for unit in ("Aa.", "A.", "a. ", '"a. ', "( a. ", "« a. ", "1. ", ";\n1. ", ".", "Aa. (", "x.-"):
+        took = []
+        for n in (5_000, 40_000):
+            t = time.process_time()
+            Reader(unit * n, Tally()).read()
+            took.append(time.process_time() - t)
+        assert took[1] < 24 * took[0] + 0.2, unit
