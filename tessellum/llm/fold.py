@@ -15,7 +15,7 @@ LOOK_ALIKES = {
     "ɑɡıᴏᴄᴠᴡᴢꜱ": "agiocvwzs",
 }
 # Invisible characters that are not of the format category.
-FILLERS = "͏ᅟᅠ឴឵ㅤﾠ" + "".join(map(chr, range(0xFE00, 0xFE10)))
+FILLERS = "͏ᅟᅠ឴឵ㅤﾠ" + "".join(map(chr, (*range(0x180B, 0x1810), *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0))))
 # Compatibility kinds whose characters keep their look (raised, lowered and slashed figures).
 KEPT_KINDS = ("<super>", "<sub>", "<fraction>", "<square>", "<circle>")
 
@@ -40,6 +40,8 @@ def _table() -> dict[int, str]:
             out[cp] = ""
         elif kind in ("Zs", "Zl", "Zp"):
             out[cp] = " "
+        elif len(same := unicodedata.normalize("NFC", ch)) == 1 and same != ch:
+            out[cp] = same  # one character in two places, such as the kelvin sign
         elif kind[0] in "LNPS" and (d := unicodedata.decomposition(ch)).startswith("<") and not d.startswith(KEPT_KINDS):
             plain = unicodedata.normalize("NFKC", ch)
             # Letters, digits and full-width signs; signs of other kinds, such as the ellipsis, are ordinary.

@@ -1,9 +1,12 @@
 import random
+import time
 
+import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
 
-from tessellum.llm.leaks import find_leaks, myers, words
+from tessellum.llm.fold import bare
+from tessellum.llm.leaks import WORD, Index, Item, find_leaks, myers, myers_many, words
 
 VOCABULARY = [f"mot{i}" for i in range(40)]
 
@@ -76,3 +79,44 @@ def test_altered_passages(spark):
     items = spark.createDataFrame([(7, item), (8, None), (9, "trop court"), (None, item)], "item_id bigint, text string")
     assert sorted((r["doc_id"], r["item_id"], r["run_words"]) for r in find_leaks(docs, items).collect()) == [(1, 7, 20), (4, 7, 20)]
     assert find_leaks(docs, items.limit(0)).count() == 0 and find_leaks(docs.limit(0), items).count() == 0
+
+
+@given(st.lists(st.tuples(st.lists(st.integers(0, 3), min_size=7, max_size=7), st.lists(st.integers(0, 3), min_size=9, max_size=9)), min_size=1, max_size=9), st.integers(0, 4))
+def test_myers_of_many_pairs(pairs, most):
+    got = myers_many(np.array([p for p, _ in pairs]), np.array([t for _, t in pairs]), most)
+    assert got.tolist() == [myers(p, t, most) for p, t in pairs]
+
+
+@given(st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=80))
+def test_words_are_those_of_the_folded_text(text):
+    assert words(text) == WORD.findall(bare(text))
+
+
+@given(st.lists(st.integers(1, 3), min_size=1, max_size=40), st.lists(st.integers(1, 3), min_size=1, max_size=40))
+def test_longest_common_run(x, y):
+    want = max(run(x, a, y, b) for a in range(len(x)) for b in range(len(y)))
+    assert Item(0, x, 5, 2).longest([np.array(y)]) == want
+
+
+def test_repeated_words_take_linear_time():
+    index = Index([(1, "zéro " * 400), (2, " ".join(f"zéro {'zéro ' * 8}{k}" for k in range(40)))], 15, 1)
+    list(index.find_all(["zéro " * 20]))
+    t = time.process_time()
+    assert list(index.find_all(["zéro " * 4000]))[0] == (0, 1, 400, 0, 386, 0)
+    assert time.process_time() - t < 1
+    small, doc = "a a a a b a a a a a a c a a a a", "a a a b a a a a a a d a a a a a c a a a"
+    got = list(Index([(1, small)], 9, 1).find_all([doc]))
+    assert [(x[1], x[3], x[2]) for x in got] == [(1, *brute([(0, doc)], [(1, small)], 9, 1)[0, 1])]
+
+
+def test_one_edit_is_always_found(spark):
+    rng = random.Random(9)
+    item = [f"w{k}" for k in range(60)]
+    docs = []
+    for k in range(300):
+        s, at, kind = rng.randrange(45), rng.randrange(15), k % 3
+        part = item[s : s + 15]
+        part[at : at + (kind != 2)] = ["neu"] * (kind != 1)
+        docs.append((k, " ".join([*rng.choices(VOCABULARY, k=rng.randrange(9)), *part, *rng.choices(VOCABULARY, k=4)])))
+    got = find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string"))
+    assert {r["doc_id"] for r in got.collect()} == set(range(300))
