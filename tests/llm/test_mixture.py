@@ -19,8 +19,17 @@ def test_settle_keeps_mass_and_expectation():
 
 def test_pivot_keeps_the_count():
     rng = random.Random(2)
-    done, held = pivot([(i, i, 0.37) for i in range(1000)], rng)
-    assert len(done) == 999 + (held is None) and abs(sum(x[2] for x in done) + (held[2] if held else 0) - 370) < 1e-6
+    done, held, rest = pivot([0.37] * 1000, [rng.random() for _ in range(1000)])
+    assert len(done) == 1000 and abs(sum(done) + (rest if held is not None else 0) - 370) < 1e-6
+
+
+def test_sizes_stay_near_their_expectation():
+    rng = random.Random(4)
+    for _ in range(200):
+        sizes = sorted((int(rng.paretovariate(1)) for _ in range(300)), reverse=True)
+        p = rng.random()
+        done, held, rest = pivot([p] * 300, [rng.random() for _ in range(300)])
+        assert abs(sum(n * t for n, t in zip(done, sizes, strict=True)) + (rest * sizes[held] if held is not None else 0) - p * sum(sizes)) <= sizes[0]
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +40,7 @@ def mixture(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string, tokens string").repartition(7, "doc_id")
     targets = [(1, "a", 0.5, 1, 0.2), (1, "b", 0.5, 3, 0.2), (2, "a", 0.2, 1, 1.5), (2, "b", 0.7, 5, 1.5), (2, "c", 0.05, 2, 1.5), (2, "d", 0.05, 2, 1.5), (2, "d", 0.05, 2, 1.5)]
     t = spark.createDataFrame(targets, "mix_id int, source string, target_share double, max_uses int, budget_ratio double")
-    return docs, t, [x.collect() for x in mix_sources(docs, t, fan_in=3)]
+    return docs, t, [x.collect() for x in mix_sources(docs, t, fan_in=3, leaf=50)]
 
 
 def test_shares_and_caps(mixture):
@@ -51,9 +60,11 @@ def test_shares_and_caps(mixture):
     assert {k for k, r in caps.items() if r["short"]} >= {(2, "c"), (2, "d")}
 
 
-def test_same_again(mixture):
+@pytest.mark.parametrize("partitions", [1, 2, 5, 50])
+def test_same_in_any_partitioning(mixture, partitions):
     docs, t, (chosen, _) = mixture
-    assert sorted(mix_sources(docs, t, fan_in=3)[0].collect()) == sorted(chosen)
+    again = mix_sources(docs.repartition(partitions), t, fan_in=3, leaf=50)[0].collect()
+    assert sorted(again) == sorted(chosen)
 
 
 def test_empty(mixture):
