@@ -31,10 +31,16 @@ def composed(piece: Column) -> Column:
 def mapped(text: Column) -> Column:
     """The text with look-alike letters, widths and spaces replaced, invisible characters and outer spaces removed, accents composed.
 
-    Built-in expressions only. A letter with marks that have no composed form keeps the marks, in canonical order.
+    Built-in expressions only. A letter with marks that have no composed form keeps the marks, in canonical order. A word all of
+    whose letters are Cyrillic or Armenian, some of them like no Latin letter, is a word of that script and keeps its letters.
     """
     chars, plain, several, hidden = pairs()
-    out = F.translate(text, chars + hidden, plain)  # characters without a counterpart are removed
+    latin = lambda x: F.translate(x, chars + hidden, plain)  # noqa: E731 - characters without a counterpart are removed
+    alike = "".join(c for c in chars if "\u0370" < c < "\u0590")
+    own = rf"[\p{{IsCyrillic}}\p{{IsArmenian}}&&[^{alike}]]"
+    words = F.regexp_extract_all(text, F.lit(r"(?s)([\p{L}\p{M}]+|[^\p{L}\p{M}]+)"), F.lit(1))
+    foreign = lambda x: x.rlike(r"^(?:[\p{IsCyrillic}\p{M}]+|[\p{IsArmenian}\p{M}]+)$") & x.rlike(own)
+    out = F.when(text.rlike(own), F.array_join(F.transform(words, lambda x: F.when(foreign(x), x).otherwise(latin(x))), "")).otherwise(latin(text))
     pieces = F.regexp_extract_all(out, F.lit(r"(?s)(\P{M}\p{M}*|\p{M}+)"), F.lit(1))
     whole = F.array_join(F.transform(pieces, lambda x: F.coalesce(F.try_element_at(table(several), x), F.when(x.rlike(r"\p{M}"), composed(x)), x)), "")
     return F.btrim(F.when(out.rlike("[\\p{M}" + "".join(sorted(several)) + "]"), whole).otherwise(out))

@@ -51,3 +51,9 @@ def test_bare_is_stable_and_ignores_marks(text):
 
 def test_look_alike():
     assert [look_alike(c) for c in "аΑＡⅬ​ ²œ"] == ["a", "A", "A", "L", "", " ", None, None]
+
+
+def test_words_of_other_scripts_and_single_characters(spark):
+    rows = [("Россия",), ("Роssия",), ("соре",), ("Հայաստան",), ("Kilo",), ("a;",), ("x\U000e0101y",), ("дом AСB",)]
+    got = {r["t"]: r["c"] for r in consistent_form(spark.createDataFrame(rows, "t string"), "t", out="c").collect()}
+    assert got == {"Россия": "Россия", "Роssия": "Possия", "соре": "cope", "Հայաստան": "Հայաստան", "Kilo": "Kilo", "a;": "a;", "x\U000e0101y": "xy", "дом AСB": "дом ACB"}
