@@ -20,35 +20,34 @@ LEVELS = (
     re.compile(r"(?<=[^\W\d_])(?=[\d])|[-/_.·](?=\w)"),
 )
 ALNUM = re.compile(r"[^\W_]+")
+WORD_START = re.compile(r"\s(?=\S)")
 INSIDE = len(LEVELS)
 
 
 def atoms(text: str, limit: int) -> tuple[list[int], list[int]]:
     """Ends of the atomic segments, none over limit, and the strength of the boundary after each (0 the strongest).
 
-    Segments are words with the white space after them. A word over the limit is cut where letters meet digits or signs, and
-    what is still too long every limit characters, but not before a combining mark.
+    A stretch between two boundaries that fits in the limit is one segment: all boundaries inside of it are weaker than the
+    two, so merging the weakest first would join it whole before it touched either. Only longer stretches are cut further, down
+    to words with the white space after them. A word over the limit is cut where letters meet digits or signs, and what is
+    still too long every limit characters, but not before a combining mark.
     """
-    at: dict[int, int] = {}
-    for level, pattern in enumerate(LEVELS[:5]):
-        for m in pattern.finditer(text):
-            at.setdefault(m.end(), level)
-    at[len(text)] = 0
-    ends, strength, start = [], [], 0
-    for end in sorted(at):
-        if end == 0 or end <= start:
-            continue
-        if end - start > limit:
-            for m in LEVELS[5].finditer(text, start, end):
-                if m.end() - start > 0 and m.end() < end:
-                    cut(text, start, m.end(), limit, ends, strength)
-                    ends.append(m.end())
-                    strength.append(5)
-                    start = m.end()
+    ends: list[int] = []
+    strength: list[int] = []
+    todo = [(0, len(text), 0, 0)]
+    while todo:
+        start, end, level, after = todo.pop()
+        if end - start <= limit:
+            ends.append(end)
+            strength.append(after)
+        elif level < INSIDE:
+            inner = [m.end() for m in LEVELS[level].finditer(text, start, end) if start < m.end() < end]
+            parts = zip([start, *inner], [*inner, end], strict=True)
+            todo += reversed([(a, b, level + 1, level if b < end else after) for a, b in parts])
+        else:
             cut(text, start, end, limit, ends, strength)
-        ends.append(end)
-        strength.append(at[end])
-        start = end
+            ends.append(end)
+            strength.append(after)
     return ends, strength
 
 
@@ -101,17 +100,18 @@ def pieces(text: str, max_chars: int, overlap: int) -> list[tuple[int, int, int]
     """(start, end, chars shared with the piece before) of the pieces of a text; the text as a whole if it fits.
 
     Each piece but the first begins up to overlap characters before the end of the one before, at the start of a word
-    where there is one in that stretch.
+    where there is one in that stretch. An overlap that isn't less than max_chars is an error.
     """
+    if not 0 <= overlap < max_chars:
+        raise ValueError(f"an overlap of {overlap} doesn't go with pieces of {max_chars} characters")
     if len(text) <= max_chars:
         return [(0, len(text), 0)] if text else []
-    overlap = max(0, min(overlap, max_chars // 2))
     ends = merge(*atoms(text, max_chars - overlap), max_chars - overlap)
     out, start = [], 0
     for end in ends:
         back = max(0, start - overlap) if start else 0
         if start and overlap:
-            if m := re.compile(r"\s(?=\S)").search(text, max(0, back - 1), start):
+            if m := WORD_START.search(text, max(0, back - 1), start):
                 back = min(m.end(), start)
             while back < start and unmarked(text[back]):
                 back += 1
@@ -123,30 +123,43 @@ def pieces(text: str, max_chars: int, overlap: int) -> list[tuple[int, int, int]
 PIECES = "item_id bigint, piece int, start_pos int, end_pos int, shared int, text string, item_chars int, item_run int"
 
 
-def split_batches(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def split_batches(keep_text: bool):
+    """For mapInPandas over texts that are longer than their limit."""
     names = [c.split()[0] for c in PIECES.split(", ")]
-    for pdf in batches:
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
-        for item, text, most, overlap in zip(pdf["item_id"], pdf["text"], pdf["max_chars"], pdf["overlap"], strict=True):
-            run = max((m.end() - m.start() for m in ALNUM.finditer(text)), default=0)
-            rows += [(item, k, a, b, s, text[a:b], len(text), run) for k, (a, b, s) in enumerate(pieces(text, int(most), int(overlap)))]
-            if len(rows) > 20_000:
-                yield pd.DataFrame(rows, columns=names)
-                rows = []
+        for pdf in batches:
+            for item, text, most, overlap in zip(pdf["item_id"], pdf["text"], pdf["max_chars"], pdf["overlap"], strict=True):
+                longest = max(map(len, ALNUM.findall(text)), default=0)
+                rows += [(item, k, a, b, s, text[a:b] if keep_text else None, len(text), longest) for k, (a, b, s) in enumerate(pieces(text, int(most), int(overlap)))]
+                if len(rows) > 20_000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
         yield pd.DataFrame(rows, columns=names)
 
+    return run
+
 
-def split_oversized(df: DataFrame, item: str, text: str, max_chars: int | Column, overlap: int | Column, newest: str | None = None) -> DataFrame:
+def split_oversized(df: DataFrame, item: str, text: str, max_chars: int | Column, overlap: int | Column, newest: str | None = None, keep_text: bool = True) -> DataFrame:
     """Pieces of every text: item_id, piece, start_pos, end_pos, shared, text, item_chars, item_run.
 
-    item_run is the longest run of letters and digits in the item. Atomic segments are merged along the weakest boundaries
-    first as long as a piece and its overlap stay within max_chars; a text within it is one piece. Positions count code points.
+    Atomic segments are merged along the weakest boundaries first as long as a piece and its overlap stay within max_chars; a
+    text within it is one piece, and takes no Python. item_run is the longest run of letters and digits of an item that is cut,
+    else null. Positions count code points. Without keep_text the pieces' texts are null.
 
     Rows of an equal item count once: the newest by the column of that name, then the greatest text. Rows with a null item or
-    null limits are left out, null and empty texts have no pieces, a blank text is a piece like any other. Other columns of
-    df are not read; an empty table gives an empty result.
+    null limits are left out, null and empty texts have no pieces, a blank text is a piece like any other. A limit under 1, or
+    an overlap that isn't less than it, is an error. Other columns of df are not read; an empty table gives an empty result.
     """
     limits = [x if isinstance(x, Column) else F.lit(x) for x in (max_chars, overlap)]
     rows = df.select(F.col(item).cast("bigint").alias("item_id"), F.col(newest).alias("at") if newest else F.lit(0).alias("at"), F.col(text).alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
     rows = rows.groupBy("item_id").agg(F.max(F.struct("at", "text")).alias("x")).select("item_id", F.col("x.text").alias("text"), *[x.cast("int").alias(n) for x, n in zip(limits, ("max_chars", "overlap"), strict=True)])
-    return rows.where("max_chars > 0 AND overlap IS NOT NULL").mapInPandas(split_batches, PIECES)
+    rows = rows.where("text <> '' AND max_chars IS NOT NULL AND overlap IS NOT NULL").withColumn("item_chars", F.length("text"))
+    wrong = F.raise_error(F.concat(F.lit("an overlap of "), "overlap", F.lit(" doesn't go with pieces of "), "max_chars", F.lit(" characters")))
+    fits = F.when((F.col("overlap") < 0) | (F.col("overlap") >= F.col("max_chars")), wrong.cast("boolean")).otherwise(F.col("item_chars") <= F.col("max_chars"))
+    whole = rows.where(fits).select(
+        "item_id", F.lit(0).alias("piece"), F.lit(0).alias("start_pos"), F.col("item_chars").alias("end_pos"), F.lit(0).alias("shared"),
+        (F.col("text") if keep_text else F.lit(None).cast("string")).alias("text"), "item_chars", F.lit(None).cast("int").alias("item_run"),
+    )
+    return whole.unionByName(rows.where(~fits).drop("item_chars").mapInPandas(split_batches(keep_text), PIECES))

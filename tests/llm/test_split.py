@@ -1,7 +1,10 @@
+import re
+
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tessellum.llm.split import merge, pieces, split_oversized
+from tessellum.llm.split import LEVELS, atoms, cut, merge, pieces, split_oversized
 
 
 def check(text, most, overlap):
@@ -17,7 +20,44 @@ def check(text, most, overlap):
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="ab é.\n,;1", max_size=400), st.integers(5, 60), st.integers(0, 20))
 def test_pieces_cover_the_text_under_the_limit(text, most, overlap):
-    check(text, most, overlap)
+    check(text, most, min(overlap, most - 1))
+
+
+def merged_word_by_word(text, limit):
+    """All atoms of the text in one heap, without joining what fits beforehand."""
+    at = {}
+    for level, pattern in enumerate(LEVELS):
+        for m in pattern.finditer(text):
+            at.setdefault(m.end(), level)
+    ends, strength, start = [], [], 0
+    at[len(text)] = 0
+    for end in sorted(x for x in at if x):
+        cut(text, start, end, limit, ends, strength)
+        ends.append(end)
+        strength.append(at[end])
+        start = end
+    return merge(ends, strength, limit)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab é.\n,;", min_size=1, max_size=300), st.integers(2, 60))
+def test_joining_what_fits_first_changes_nothing(text, limit):
+    if all(len(w) <= limit for w in re.findall(r"\S+\s*|\s+", text)):
+        assert merge(*atoms(text, limit), limit) == merged_word_by_word(text, limit)
+
+
+@pytest.mark.parametrize("overlap", [19, 20, 21, 35, 39])
+def test_any_overlap_below_the_limit_is_kept(overlap):
+    got = check("x" * 400, 40, overlap)
+    assert all(s == min(overlap, end) for (_, end, _), (_, _, s) in zip(got, got[1:], strict=False))
+
+
+@pytest.mark.parametrize("overlap", [-1, 40, 41])
+def test_other_overlaps_are_errors(overlap, spark):
+    with pytest.raises(ValueError):
+        pieces("x" * 400, 40, overlap)
+    with pytest.raises(Exception, match="doesn't go with"):
+        split_oversized(spark.createDataFrame([(1, "x" * 400)], "id bigint, t string"), "id", "t", 40, overlap).collect()
 
 
 def test_cuts_at_the_strongest_boundaries():
