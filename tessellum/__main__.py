@@ -37,7 +37,7 @@ def parser() -> argparse.ArgumentParser:
     add("json", "outlines as JSON")
     add("extract", "documents, their elements and lists of these as a folder of pages")
     add("annotate", "rectangles to draw on pages, as CSV")
-    add("index", "documents to be searched, as parquet")
+    add("index", "an index of the elements, as a folder of tables")
     find = sub.add_parser("search", help="search an index")
     find.add_argument("index")
     find.add_argument("terms", nargs="+")
@@ -54,7 +54,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> DataFrame | None:
     """Run one command; search gives its hits."""
     if args.command == "search":
         asked = spark.createDataFrame([(0, " ".join(args.terms))], "query_id int, q string")
-        return search.search(spark.read.parquet(args.index), asked, args.ville, args.n).orderBy("hit_rank").select("url", "titre", "score")
+        return search.search_index(search.read_index(spark, args.index), asked, args.ville, args.n, syntax=True).orderBy("hit_rank").select("url", "titre", "score")
     raw = files.read_words(spark, args.words)
     words = tidy_words(raw)
     if args.command == "train":
@@ -76,7 +76,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> DataFrame | None:
         objects.annotations(iob.group_blocks(words).join(sizes, ["fileid", "page"])).write.mode("overwrite").csv(args.out, header=True)
     elif args.command == "index":
         parts = pipeline.analyse(words)
-        pipeline.search_documents(parts["elements"], parts["blocks"]).write.mode("overwrite").parquet(args.out)
+        search.write_index(pipeline.search_documents(parts["elements"], parts["blocks"]), args.out)
     return None
 
 

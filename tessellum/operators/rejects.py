@@ -38,6 +38,7 @@ def value_rules(c: dict[str, Column]) -> list[tuple[str, str, Column]]:
         ("rgb", "colour", c["rgb"].isNull() | c["rgb"].rlike(r"\A#[0-9A-Fa-f]{3,4}\z")),
         ("segment", "label", F.coalesce(c["segment"].rlike(one_of(BLOCK_TYPES, "O|I")), F.lit(False))),
         ("sequence", "label", c["sequence"].isNull() | c["sequence"].rlike(one_of(SPAN_TYPES, "O"))),
+        *[(k, "64 bits", ~number(k) | not_above(c[k], F.lit(str((1 << 63) - 1)))) for k in WORD_INTS],
         ("text", "not empty", c["text"].isNotNull()),
         ("text", "characters", c["text"].isNull() | ~F.contains(c["text"], F.lit("�"))),
     ]
@@ -80,12 +81,12 @@ def split_records(df: DataFrame, raw: str = "raw", line_no: str = "line_no") ->
 
     Records whose line number is 1 are headers and belong to neither; a null line number is no header. valid keeps the
     columns of df that don't clash with a word column, rejected all of df plus reason (of the first failing check) and errors.
-    An integer too large for its type comes out null, its digits stay in raw. Repeated rows are kept; an empty table gives
+    Integers are typed BIGINT; one too large for that is an invalid value. Repeated rows are kept; an empty table gives
     two empty ones. Both results read df once each, from built-in expressions alone.
     """
     checked = check_records(df.where(F.col(line_no).isNull() | (F.col(line_no) > 1)), raw)
     fields = [F.get("__fields", F.lit(i)) for i in range(len(WORD_COLUMNS))]
-    typed = [(F.expr(f"try_cast(btrim(get(__fields, {i})) AS INT)") if k in WORD_INTS else fields[i]).alias(k) for i, k in enumerate(WORD_COLUMNS)]
+    typed = [(F.expr(f"try_cast(btrim(get(__fields, {i})) AS BIGINT)") if k in WORD_INTS else fields[i]).alias(k) for i, k in enumerate(WORD_COLUMNS)]
     kept = [F.col(k) for k in df.columns if k not in WORD_COLUMNS]
     valid = checked.where(F.size("__errors") == 0).select(*kept, *typed)
     rejected = checked.where(F.size("__errors") > 0).select(*[F.col(k) for k in df.columns if k not in ("reason", "errors")], F.col("__errors")[0]["reason"].alias("reason"), F.col("__errors").alias("errors"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessellum.functions.text import fold
@@ -28,15 +28,23 @@ def stem(word: Column) -> Column:
     return F.regexp_replace(word, rf"^([a-z]{{{STEM_CHARS},}}?)(?:{'|'.join(ENDINGS)})$", "$1")
 
 
-def build_index(docs: DataFrame, ref: str = "ref", fields: dict[str, float] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def latest(docs: DataFrame, ref: str = "ref", by: str | None = None) -> DataFrame:
+    """Each document once: the row that is the greatest by the column of that name, then by its texts."""
+    others = [c for c in docs.columns if c not in (ref, by)]
+    order = ([by] if by else []) + others
+    return docs.where(F.col(ref).isNotNull()).groupBy(ref).agg(F.max(F.struct(*order)).alias("__x")).select(ref, *[F.col(f"__x.{c}") for c in others])
+
+
+def build_index(docs: DataFrame, ref: str = "ref", fields: dict[str, float] | None = None, newest: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(postings, terms, fields): term, field, ref, tf, length; term, df; field, boost, n_docs, mean_length.
 
     fields maps columns to boosts, a title counting twice by default. Terms are counted in each document first, so that the
     exchange by term moves a row for each document's term and a term in all documents is only a key like others in partial sums.
-    The terms of the documents are written once, as all three tables are read from them. Of rows with one ref any one counts.
+    The terms of the documents are written once, as all three tables are read from them. Of rows with one ref the newest counts
+    by the column of that name, then the one with the greatest texts.
     """
     fields = fields or {"titre": 2.0, "texte": 1.0}
-    rows = docs.dropDuplicates([ref])
+    rows = latest(docs.select(ref, *([newest] if newest else []), *fields), ref, newest)
     of = [F.struct(F.lit(f).alias("field"), tokens(F.col(f)).alias("terms")) for f in fields]
     split = materialize(rows.select(F.col(ref).alias("ref"), F.inline(F.array(*of))), "terms").withColumn("length", F.size("terms"))
     one = split.select("ref", "field", "length", F.explode("terms").alias("term"))
@@ -47,18 +55,52 @@ def build_index(docs: DataFrame, ref: str = "ref", fields: dict[str, float] | No
     return postings, terms, stats
 
 
-def score(postings: DataFrame, terms: DataFrame, stats: DataFrame, queries: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(query_id, ref, score) of every document that holds a term of the query: BM25 summed over terms and fields.
-
-    queries has query_id and term, as tokens gives them. A query's terms are joined to the postings, so only the lists that are
-    asked for are read out.
-    """
-    asked = queries.select("query_id", "term").distinct()
+def impacts(postings: DataFrame, terms: DataFrame, stats: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """(term, field, ref, impact): what a term in a field gives a document's score by BM25, which no query changes."""
     n = F.col("n_docs")
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.greatest(F.col("mean_length"), F.lit(1e-9))))
-    hits = asked.join(terms, "term").join(postings, "term").join(stats, "field")
-    return hits.groupBy("query_id", "ref").agg(F.round(F.sum(F.col("boost") * idf * tf), 6).alias("score"))
+    return postings.join(terms, "term").join(stats, "field").select("term", "field", "ref", (F.col("boost") * idf * tf).alias("impact"))
+
+
+#: How many of a term's greatest impacts are kept; searches for more hits than that are not pruned.
+DEPTH = 100
+#: Sums are compared with this margin, as they are rounded to 6 digits in the end.
+MARGIN = 1e-5
+
+
+def bounds(weighed: DataFrame) -> DataFrame:
+    """(term, top): the greatest impacts of each term over documents, all fields together, the greatest first.
+
+    Ranks are taken in two steps, so that the documents of a term in all of them are ranked in many tasks first.
+    """
+    rows = weighed.groupBy("term", "ref").agg(F.sum("impact").alias("impact")).withColumn("part", F.pmod(F.xxhash64("ref"), F.lit(64)))
+    for keys in (["term", "part"], ["term"]):
+        rows = rows.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("impact")))).where(F.col("k") <= DEPTH)
+    return rows.groupBy("term").agg(F.sort_array(F.collect_list("impact"), asc=False).alias("top"))
+
+
+def score(weighed: DataFrame, asked: DataFrame, limits: DataFrame | None = None, k: int = 10) -> DataFrame:
+    """(query_id, ref, score): the summed impacts of a query's terms, of all documents that may be among its k best.
+
+    asked has query_id and term, as tokens gives them. With limits (of bounds) documents are left out that cannot be: a query's
+    k-th score is at least the k-th impact of any of its terms. Terms whose greatest impacts together stay below that make no
+    document one of the best by themselves, so only the lists of the other terms are read; of the documents found there, those
+    that even the greatest impacts of the rest would not lift to it go, and for those left the rest is looked up.
+    """
+    asked = asked.select("query_id", "term").distinct()
+    if limits is None or k > DEPTH:
+        hits = asked.join(weighed, "term").groupBy("query_id", "ref").agg(F.sum("impact").alias("s"))
+        return hits.select("query_id", "ref", F.round("s", 6).alias("score"))
+    known = asked.join(limits, "term").select("query_id", "term", F.get("top", F.lit(0)).alias("most"), F.coalesce(F.get("top", F.lit(k - 1)), F.lit(0.0)).alias("kth"))
+    w = Window.partitionBy("query_id")
+    below = F.sum("most").over(w.orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0))
+    plan = known.withColumns({"floor": F.max("kth").over(w) - MARGIN, "below": below})
+    plan = materialize(plan.withColumn("needed", F.col("below") >= F.col("floor")).withColumn("rest", F.coalesce(F.sum(F.when(~F.col("needed"), F.col("most"))).over(w), F.lit(0.0))), "search-plan")
+    found = plan.where("needed").join(weighed, "term").groupBy("query_id", "ref").agg(F.sum("impact").alias("s"), F.first("floor").alias("floor"), F.first("rest").alias("rest"))
+    found = found.where("s + rest >= floor").select("query_id", "ref", "s")
+    others = found.select("query_id", "ref").join(plan.where("NOT needed").select("query_id", "term"), "query_id").join(weighed, ["term", "ref"]).groupBy("query_id", "ref").agg(F.sum("impact").alias("more"))
+    return found.join(others, ["query_id", "ref"], "left").select("query_id", "ref", F.round(F.col("s") + F.coalesce("more", F.lit(0.0)), 6).alias("score"))
 
 
 def top_hits(scores: DataFrame, k: int = 10) -> DataFrame:
@@ -67,17 +109,85 @@ def top_hits(scores: DataFrame, k: int = 10) -> DataFrame:
     return scores.withColumn("hit_rank", F.row_number().over(w)).where(F.col("hit_rank") <= k)
 
 
-def search(docs: DataFrame, queries: DataFrame, prefix: str | None = None, k: int = 10, ref: str = "ref") -> DataFrame:
-    """Ranked hits with the documents' url and titre; queries has query_id and q. A prefix keeps hits whose url starts so, before the limit."""
-    postings, terms, stats = build_index(docs, ref)
-    asked = queries.select("query_id", F.explode(tokens(F.col("q"))).alias("term"))
-    scores = score(postings, terms, stats, asked)
-    stored = docs.dropDuplicates([ref]).select(F.col(ref).alias("ref"), "url", "titre")
+CLAUSE = r"^([+-]?)(?:([A-Za-z_]+):)?(.*?)(?:\^([0-9]+(?:\.[0-9]+)?))?$"
+
+
+def clauses(queries: DataFrame, vocabulary: DataFrame, q: str = "q") -> DataFrame:
+    """(query_id, clause, must, field, boost, term) of queries in the search syntax; vocabulary has term.
+
+    Words stand between spaces: +word has to be there, -word must not, field:word looks in one field, word^2 counts twice, and *
+    stands for any letters. A word with * is compared with the terms of the index as it is, without its accents; others
+    go the way of texts. must is 1, -1 or 0.
+    """
+    part = lambda g: F.regexp_extract("raw", CLAUSE, g)
+    rows = queries.select("query_id", F.posexplode(F.filter(F.split(F.coalesce(q, F.lit("")), r"\s+"), lambda x: x != "")).alias("clause", "raw"))
+    rows = rows.select("query_id", "clause", F.when(part(1) == "+", 1).when(part(1) == "-", -1).otherwise(0).alias("must"), F.nullif(part(2), F.lit("")).alias("field"), F.coalesce(F.try_to_number(F.nullif(part(4), F.lit("")), F.lit("999999.999999")).cast("double"), F.lit(1.0)).alias("boost"), part(3).alias("word"))
+    wild = F.contains("word", F.lit("*"))
+    kept = ["query_id", "clause", "must", "field", "boost"]
+    plain = rows.where(~wild).select(*kept, F.explode_outer(tokens(F.col("word"))).alias("term"))
+    # Joined by the first letter; a word that begins with * has none, and every term also stands under no letter.
+    pattern = F.replace(fold(F.col("word")), F.lit("*"), F.lit("%"))
+    asked = rows.where(wild).withColumn("pattern", pattern).withColumn("letter", F.when(F.startswith("pattern", F.lit("%")), "").otherwise(F.left("pattern", F.lit(1))))
+    terms = vocabulary.select("term", F.explode(F.array(F.left("term", F.lit(1)), F.lit(""))).alias("letter"))
+    found = asked.join(terms, "letter").where(F.expr("term LIKE pattern")).select(*kept, "term")
+    none = asked.select(*kept, F.lit(None).cast("string").alias("term"))  # a clause stays one, even where no term fits
+    return plain.unionByName(found).unionByName(none)
+
+
+def score_clauses(weighed: DataFrame, asked: DataFrame) -> DataFrame:
+    """(query_id, ref, score) of the documents that hold every +word and no -word, and any word at all; asked is of clauses."""
+    needed = asked.where("must = 1").groupBy("query_id").agg(F.count_distinct("clause").alias("needed"))
+    hits = asked.where("term IS NOT NULL").join(weighed.withColumnRenamed("field", "in_field"), "term").where("field IS NULL OR field = in_field")
+    each = hits.groupBy("query_id", "ref", "clause", "must").agg(F.sum(F.col("boost") * F.col("impact")).alias("s"))
+    sums = each.groupBy("query_id", "ref").agg(F.sum(F.when(F.col("must") >= 0, F.col("s"))).alias("s"), F.sum(F.when(F.col("must") == 1, 1).otherwise(0)).alias("has"), F.max(F.when(F.col("must") < 0, 1).otherwise(0)).alias("barred"))
+    rows = sums.where("barred = 0 AND s IS NOT NULL").join(needed, "query_id", "left").where("has = coalesce(needed, 0)")
+    return rows.select("query_id", "ref", F.round("s", 6).alias("score"))
+
+
+INDEX_TABLES = ("documents", "weighed", "bounds")
+
+
+def index_tables(docs: DataFrame, ref: str = "ref", newest: str | None = None) -> dict[str, DataFrame]:
+    """What searches need: the stored documents, the impacts of terms and their bounds."""
+    stored = materialize(latest(docs, ref, newest).withColumnRenamed(ref, "ref"), "stored")
+    weighed = materialize(impacts(*build_index(stored)), "impacts")
+    return {"documents": stored, "weighed": weighed, "bounds": bounds(weighed)}
+
+
+def write_index(docs: DataFrame, folder: str, ref: str = "ref", newest: str | None = None) -> None:
+    """Write an index; impacts lie in order of terms, so that a search reads only the row groups of the terms it asks for."""
+    tables = index_tables(docs, ref, newest)
+    tables["weighed"].repartitionByRange("term", "ref").sortWithinPartitions("term", "ref").write.mode("overwrite").parquet(f"{folder}/weighed")
+    tables["bounds"].repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{folder}/bounds")
+    tables["documents"].write.mode("overwrite").parquet(f"{folder}/documents")
+
+
+def read_index(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {t: spark.read.parquet(f"{folder}/{t}") for t in INDEX_TABLES}
+
+
+def search_index(index: dict[str, DataFrame], queries: DataFrame, prefix: str | None = None, k: int = 10, syntax: bool = False) -> DataFrame:
+    """Ranked hits with the documents' url and titre; queries has query_id and q. A prefix keeps hits whose url starts so, before the limit.
+
+    With syntax q is read as clauses says, else as words any of which a document may hold.
+    """
+    weighed, stored = index["weighed"], index["documents"].select("ref", "url", "titre")
+    if syntax:
+        scores = score_clauses(weighed, clauses(queries, index["bounds"].select("term")))
+    else:
+        asked = queries.select("query_id", F.explode(tokens(F.col("q"))).alias("term"))
+        # The bounds hold for all documents, so a search in some of them takes every hit.
+        scores = score(weighed, asked, None if prefix else index["bounds"], k)
     if prefix:
         scores = scores.join(stored.where(F.startswith(F.col("url"), F.lit(prefix))).select("ref"), "ref", "left_semi")
     return top_hits(scores, k).join(stored, "ref")
 
 
+def search(docs: DataFrame, queries: DataFrame, prefix: str | None = None, k: int = 10, ref: str = "ref", newest: str | None = None, syntax: bool = False) -> DataFrame:
+    """search_index over an index of docs made for this search."""
+    return search_index(index_tables(docs, ref, newest), queries, prefix, k, syntax)
+
+
 def cities(docs: DataFrame, url: str = "url") -> DataFrame:
     """The cities of the indexed pages: the first steps of their addresses."""
     return docs.select(F.split(F.col(url), "/")[0].alias("ville")).where("ville IS NOT NULL AND ville != '_idx'").distinct()

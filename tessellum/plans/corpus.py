@@ -60,7 +60,30 @@ def asked(spark: SparkSession, d: str) -> DataFrame:
 
 @query("WITH {index}, {scores}, ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ref) AS INTEGER) AS hit_rank FROM scored) SELECT query_id, hit_rank, ref, score FROM ranked WHERE hit_rank <= 10")
 def bm25_topk(spark, d):
-    return search.top_hits(search.score(*search.build_index(docs(spark, d)), asked(spark, d))).select("query_id", "hit_rank", "ref", "score")
+    index = search.index_tables(docs(spark, d), newest="indexed_at")
+    return search.top_hits(search.score(index["weighed"], asked(spark, d), index["bounds"])).select("query_id", "hit_rank", "ref", "score")
+
+
+CLAUSES = ("+zone -plan", "titre:article^2 règlement", "zon* +règlement", "*ment^0.5 titre:chap*", "lot cour +titre:zone")
+SQL_CLAUSES = ", ".join(f"({q}, {c}, {m}, {f}, {b}, '{t}')" for q, c, m, f, b, t in (
+    (0, 0, 1, "NULL", 1, "zone"), (0, 1, -1, "NULL", 1, "plan"), (1, 0, 0, "'titre'", 2, "article"), (1, 1, 0, "NULL", 1, "règlement"), (2, 0, 0, "NULL", 1, "zon%"), (2, 1, 1, "NULL", 1, "règlement"),
+    (3, 0, 0, "NULL", 0.5, "%ment"), (3, 1, 0, "'titre'", 1, "chap%"), (4, 0, 0, "NULL", 1, "lot"), (4, 1, 0, "NULL", 1, "cour"), (4, 2, 1, "'titre'", 1, "zone"),
+))
+
+
+@query(
+    f"""WITH {{index}}, given AS (SELECT * FROM (VALUES {SQL_CLAUSES}) AS t(query_id, clause, must, in_field, clause_boost, word)),
+  weighed AS (SELECT term, field, ref, boost * ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * (tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / greatest(mean_length, 1e-9)))) AS impact FROM postings JOIN dfs USING (term) JOIN fields USING (field)),
+  meant AS (SELECT g.*, t.term FROM given g JOIN dfs t ON CASE WHEN contains(word, '%') THEN t.term LIKE word ELSE list_contains({sql_terms('word')}, t.term) END),
+  matched AS (SELECT query_id, ref, clause, must, sum(clause_boost * impact) AS s FROM meant JOIN weighed USING (term) WHERE in_field IS NULL OR in_field = field GROUP BY ALL),
+  summed AS (SELECT query_id, ref, sum(CASE WHEN must >= 0 THEN s END) AS s, sum(CASE WHEN must = 1 THEN 1 ELSE 0 END) AS has, max(CASE WHEN must < 0 THEN 1 ELSE 0 END) AS barred FROM matched GROUP BY ALL),
+  kept AS (SELECT query_id, ref, round(s, 6) AS score FROM summed JOIN (SELECT query_id, count(*) FILTER (must = 1) AS needed FROM given GROUP BY query_id) USING (query_id) WHERE barred = 0 AND s IS NOT NULL AND has = needed),
+  ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ref) AS INTEGER) AS hit_rank FROM kept) SELECT query_id, hit_rank, ref, score FROM ranked WHERE hit_rank <= 10"""
+)
+def search_syntax(spark, d):
+    """Queries with fields, boosts, wildcards, words that have to be there and words that must not."""
+    asks = spark.createDataFrame(list(enumerate(CLAUSES)), "query_id int, q string")
+    return search.search(docs(spark, d), asks, newest="indexed_at", syntax=True).select("query_id", "hit_rank", "ref", "score")
 
 
 @query(
@@ -69,7 +92,7 @@ def bm25_topk(spark, d):
 def search_prefix(spark, d):
     """The five best pages of one city for every query."""
     asks = table(spark, d, "search_results").where("termes IS NOT NULL").groupBy("query_id").agg(F.array_join(F.array_distinct(F.flatten(F.collect_set("termes"))), " ").alias("q"))
-    return search.search(docs(spark, d), asks, "valmoret/", 5).select("query_id", "hit_rank", "url", "titre", "score")
+    return search.search(docs(spark, d), asks, "valmoret/", 5, newest="indexed_at").select("query_id", "hit_rank", "url", "titre", "score")
 
 
 @query("SELECT DISTINCT split_part(url, '/', 1) AS ville FROM index_docs WHERE url IS NOT NULL")
@@ -93,17 +116,13 @@ def bbox_overlap_join(spark, d):
     return objects.overlapping_pairs(boxes(spark, d)).select("fileid", "page", "a_box", "b_box")
 
 
-OBJECTS = "objs AS (SELECT * FROM boxes WHERE type IN ('Tableau', 'Figure', 'Liste', 'Article'))"
-
-
-def some_boxes(spark: SparkSession, d: str) -> DataFrame:
-    return boxes(spark, d).where("type IN ('Tableau', 'Figure', 'Liste', 'Article')")
+OBJECTS = "objs AS (SELECT * FROM boxes)"
 
 
 @query("WITH {words}, {blocks}, {boxes}, " + OBJECTS + " SELECT w.fileid, w.word_idx, b.box FROM words w JOIN objs b ON w.fileid = b.fileid AND w.page = b.page AND w.x0 >= b.x0 AND w.top >= b.top AND w.x1 <= b.x1 AND w.bottom <= b.bottom")
 def bbox_contains(spark, d):
     words = document.tidy(spark, d).select("fileid", "page", "word_idx", *iob.BOX)
-    return objects.contained_words(words, some_boxes(spark, d)).select("fileid", F.col("w_word_idx").alias("word_idx"), F.col("b_box").alias("box"))
+    return objects.contained_words(words, boxes(spark, d)).select("fileid", F.col("w_word_idx").alias("word_idx"), F.col("b_box").alias("box"))
 
 
 BEST = """inside AS (SELECT w.fileid, w.page, w.word_idx, b.box, b.type, CASE WHEN (w.x1 - w.x0) * (w.bottom - w.top) > 0 THEN greatest(least(w.x1, b.x1) - greatest(w.x0, b.x0), 0) * greatest(least(w.bottom, b.bottom) - greatest(w.top, b.top), 0) / CAST((w.x1 - w.x0) * (w.bottom - w.top) AS DOUBLE) ELSE 0 END AS share
@@ -114,13 +133,13 @@ BEST = """inside AS (SELECT w.fileid, w.page, w.word_idx, b.box, b.type, CASE WH
 
 @query("WITH {words}, {blocks}, {boxes}, " + OBJECTS + ", " + BEST + " SELECT fileid, word_idx, box, box_type, share FROM best")
 def word_box_argmax(spark, d):
-    found = objects.best_boxes(document.tidy(spark, d), some_boxes(spark, d))
+    found = objects.best_boxes(document.tidy(spark, d), boxes(spark, d))
     return found.select("fileid", "word_idx", "box", "box_type", F.round("share", 6).alias("share"))
 
 
 @query("WITH {words}, {blocks}, {boxes}, " + OBJECTS + ", " + BEST + ", seen AS (SELECT *, lag(box) OVER (PARTITION BY fileid, page ORDER BY word_idx) AS was FROM best) SELECT fileid, word_idx, CASE WHEN box IS NULL THEN 'O' WHEN box = was THEN 'I-' || box_type ELSE 'B-' || box_type END AS box_label FROM seen")
 def box_iob(spark, d):
-    return objects.box_labels(objects.best_boxes(document.tidy(spark, d), some_boxes(spark, d))).select("fileid", "word_idx", "box_label")
+    return objects.box_labels(objects.best_boxes(document.tidy(spark, d), boxes(spark, d))).select("fileid", "word_idx", "box_label")
 
 
 @query()

@@ -46,6 +46,7 @@ def _raw_checks() -> str:
         lambda x: CASE WHEN starts_with(x, '"') THEN replace(x[2:-2], '""', '"') ELSE x END) END AS f FROM quoted),
     judged AS (SELECT *, CASE WHEN NOT ok THEN 'quoting' WHEN len(f) <> {len(WORD_COLUMNS)} THEN 'columns'
         WHEN NOT ({digits}) THEN 'value'
+        WHEN {" OR ".join(f"(regexp_full_match({f[c]}, '[0-9]+') AND try_cast({f[c]} AS BIGINT) IS NULL)" for c in WORD_INTS)} THEN 'value'
         WHEN try_cast({f["page"]} AS HUGEINT) < 1 OR try_cast({f["x0"]} AS HUGEINT) > try_cast({f["x1"]} AS HUGEINT)
           OR try_cast({f["top"]} AS HUGEINT) > try_cast({f["bottom"]} AS HUGEINT)
           OR NOT regexp_full_match(trim({f["mcid"]}), '[0-9]*') OR (trim({f["mcid"]}) <> '' AND NOT regexp_full_match({f["mcid"]}, '[0-9]+'))
@@ -56,7 +57,7 @@ def _raw_checks() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    typed = ", ".join(f"try_cast(nullif(f[{i}], '') AS INTEGER) AS {c}" if c in WORD_INTS else f"nullif(f[{i}], '') AS {c}" for i, c in enumerate(WORD_COLUMNS, 1))
+    typed = ", ".join(f"try_cast(nullif(f[{i}], '') AS BIGINT) AS {c}" if c in WORD_INTS else f"nullif(f[{i}], '') AS {c}" for i, c in enumerate(WORD_COLUMNS, 1))
     return {
         "p2_found": f"WITH {_raw_checks()} SELECT row_id, reason FROM judged WHERE reason IS NOT NULL",
         "p2_valid": f"WITH {_raw_checks()} SELECT row_id, path, line_no, {typed} FROM judged WHERE reason IS NULL",

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessellum.operators import iob, links, render, structure
+from tessellum.operators import grammar, iob, links, render, structure
+from tessellum.operators.rejects import once
 from tessellum.plans import document
 from tessellum.plans.registry import Registry
 from tessellum.schema import LEVELS
@@ -161,8 +162,8 @@ def texts(spark: SparkSession, d: str) -> DataFrame:
     return pages.unionByName(made)
 
 
-REFERENCE = links.REFERENCE.replace("'", "''").replace(links.FIRST_LETTER, "")  # DuckDB's patterns have no look-ahead
-LISTED = [tuple(x.replace("'", "''") for x in (links.SECTION, links.NUMBERS, links.NUMBER)), tuple(x.replace("'", "''") for x in (links.ZONE_WORDS, links.ZONES, links.ZONE))]
+REFERENCE = grammar.REFERENCE.replace("'", "''").replace(grammar.FIRST_LETTER, "")  # DuckDB's patterns have no look-ahead
+LISTED = [tuple(x.replace("'", "''") for x in (grammar.SECTION, grammar.NUMBERS, grammar.NUMBER)), tuple(x.replace("'", "''") for x in (grammar.ZONE_WORDS, grammar.ZONES, grammar.ZONE))]
 FOUND = rf"""cut AS (SELECT id, t, regexp_split_to_array(t, '(?i){REFERENCE}') AS between, regexp_extract_all(t, '(?i){REFERENCE}') AS found FROM texts),
   spots AS (SELECT id, t, CAST(coalesce(list_sum(list_transform(between[1:k], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(found[1:k - 1], lambda x: length(x))), 0) AS BIGINT) AS s, found[k] AS m FROM cut, unnest(range(1, len(found) + 1)) AS u(k)),
   heads AS (SELECT *, regexp_extract(m, '(?is)^({LISTED[0][0]}\s+)({LISTED[0][1]})(.*)$', 1) AS h1, regexp_extract(m, '(?is)^({LISTED[0][0]}\s+)({LISTED[0][1]})(.*)$', 2) AS b1, regexp_extract(m, '(?is)^({LISTED[0][0]}\s+)({LISTED[0][1]})(.*)$', 3) AS a1,
@@ -184,20 +185,20 @@ def match_links(spark, d):
 
 SITE = links.LAW_SITE
 EXTERNAL = rf"""laws AS (SELECT *, coalesce(alt, quote) AS x FROM refs),
-  read AS (SELECT *, trim(regexp_extract(x, '{links.CITED_LAW}', 1)) AS lq, regexp_matches(x, '{links.CITED_LAW}') AS has FROM laws),
-  based AS (SELECT *, CASE WHEN has AND regexp_matches(lq, '{links.CITED_REGULATION}') THEN '{SITE}/rc/' || regexp_extract(lq, '{links.CITED_REGULATION}', 1) || ',%20r.%20' || regexp_extract(lq, '{links.CITED_REGULATION}', 2) || '%20'
+  read AS (SELECT *, trim(regexp_extract(x, '{grammar.CITED_LAW}', 1)) AS lq, regexp_matches(x, '{grammar.CITED_LAW}') AS has FROM laws),
+  based AS (SELECT *, CASE WHEN has AND regexp_matches(lq, '{grammar.CITED_REGULATION}') THEN '{SITE}/rc/' || regexp_extract(lq, '{grammar.CITED_REGULATION}', 1) || ',%20r.%20' || regexp_extract(lq, '{grammar.CITED_REGULATION}', 2) || '%20'
     WHEN has THEN '{SITE}/lc/' || regexp_replace(lq, '\s+', '', 'g') {' '.join(f"WHEN contains(lower(x), '{w}') THEN '{SITE}/lc/{c}'" for w, c in links.KNOWN_LAWS)} END AS base FROM read)"""
 
 
 @query("WITH {texts}, {refs}, " + EXTERNAL + r" SELECT id, start, CASE WHEN regexp_matches(x, '\barticle [\d\.]+') THEN base || '#se:' || replace(regexp_extract(x, '\barticle ([\d\.]+)', 1), '.', '_') ELSE base END AS url FROM based WHERE base IS NOT NULL")
 def resolve_external(spark, d):
     refs = links.references(texts(spark, d), "t", "id")
-    return refs.select("id", "start", links.resolve_external(F.coalesce("alt", "quote")).alias("url")).where("url IS NOT NULL")
+    return once(refs, "url", links.resolve_external(F.coalesce("alt", "quote"))).select("id", "start", "url").where("url IS NOT NULL")
 
 
 def sql_normal(text: str) -> str:
     edge = links.TITLE_EDGE.replace("'", "''")
-    return rf"""trim(regexp_replace(replace(translate(regexp_replace(regexp_replace(trim(regexp_replace(lower({text}), '[\s\p{{Z}}]+', ' ', 'g')), '{links.TITLE_START}', ''), '\bpiia\b', 'plans d''implantation et d''intégration architecturale', 'g'), '‘’', ''''''), ', ', ' '), '\([^\)]+\)$', ''), '{edge}')"""
+    return rf"""trim(regexp_replace(replace(translate(regexp_replace(regexp_replace(trim(regexp_replace(lower({text}), '[\s\p{{Z}}]+', ' ', 'g')), '{grammar.TITLE_START}', ''), '\bpiia\b', 'plans d''implantation et d''intégration architecturale', 'g'), '‘’', ''''''), ', ', ' '), '\([^\)]+\)$', ''), '{edge}')"""
 
 
 @query(f"SELECT DISTINCT titre, {sql_normal('titre')} AS normal FROM bylaws WHERE titre IS NOT NULL")

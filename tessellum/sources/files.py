@@ -7,7 +7,6 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessellum.schema import WORD_COLUMNS, WORD_INTS
 
@@ -16,6 +15,16 @@ BLANK_COLUMNS = ("mcid", "sequence", "segment", "fontname", "tagstack")
 WORDS = "path string, fileid string, word_idx bigint, " + ", ".join(f"{c} {'int' if c in WORD_INTS else 'string'}" for c in WORD_COLUMNS)
 
 
+def whole(text: str | None) -> int | None:
+    """The whole number of 32 bits that a field stands for, with one sign at most; null for anything else."""
+    digits = (text or "").strip()
+    unsigned = digits[1:] if digits[:1] in ("-", "+") else digits
+    if not unsigned.isdecimal() or len(unsigned) > 4000:
+        return None
+    n = int(digits)
+    return n if -(1 << 31) <= n < 1 << 31 else None
+
+
 def parse_files(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For mapInPandas over (path, content): the rows of each CSV file with their place in it."""
     import csv
@@ -29,7 +38,7 @@ def parse_files(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             stem = file[: -len(".csv")] if file.lower().endswith(".csv") else file
             rows = []
             for k, row in enumerate(reader):
-                value = lambda c, row=row: row.get(c) if c not in WORD_INTS else (int(row[c]) if (row.get(c) or "").strip().lstrip("-").isdigit() else None)
+                value = lambda c, row=row: whole(row.get(c)) if c in WORD_INTS else row.get(c)
                 rows.append((path, stem, k, *[value(c) for c in WORD_COLUMNS]))
                 if len(rows) >= 50_000:
                     yield pd.DataFrame(rows, columns=names).astype({c: "Int64" for c in WORD_INTS})
@@ -90,10 +99,17 @@ def read_pdfs(spark: SparkSession, parser, *paths: str) -> DataFrame:
 
 
 def read_images(spark: SparkSession, *paths: str) -> DataFrame:
-    """Boxes of pictures from JSON files, each an array of blocks: path, type, page and the box."""
-    schema = T.StructType([T.StructField("type", T.StringType()), T.StructField("_page_number", T.IntegerType()), T.StructField("_bbox", T.ArrayType(T.DoubleType()))])
-    rows = spark.read.schema(schema).json(list(paths), multiLine=True).select(F.col("_metadata.file_path").alias("path"), "type", F.col("_page_number").alias("page"), "_bbox")
-    return rows.select("path", "type", "page", *[F.bround(F.get("_bbox", F.lit(i))).cast("int").alias(c) for i, c in enumerate(("x0", "top", "x1", "bottom"))])
+    """Blocks from JSON files, each an array of them: path, type, page, text, links and the box.
+
+    The text is of the block's words. A block without a box or page of its own has the hull and the page of its words.
+    """
+    word = "struct<text:string,page:int,x0:double,top:double,x1:double,bottom:double>"
+    schema = f"type string, _page_number int, _bbox array<double>, contenu array<{word}>, liens array<struct<start:int,`end`:int,href:string,alt:string>>"
+    rows = spark.read.schema(schema).json(list(paths), multiLine=True).select(F.col("_metadata.file_path").alias("path"), "*")
+    of_words = lambda c, most: (F.array_max if most else F.array_min)(F.transform("contenu", lambda w: w[c]))
+    box = [F.bround(F.coalesce(F.get("_bbox", F.lit(i)), of_words(c, i > 1))).cast("int").alias(c) for i, c in enumerate(("x0", "top", "x1", "bottom"))]
+    text = F.array_join(F.transform(F.coalesce("contenu", F.array().cast(f"array<{word}>")), lambda w: w["text"]), " ")
+    return rows.select("path", "type", F.coalesce("_page_number", F.get("contenu", F.lit(0))["page"]).alias("page"), text.alias("text"), "liens", *box)
 
 
 def document_urls(text: DataFrame, column: str = "value") -> DataFrame:

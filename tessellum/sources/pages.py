@@ -152,7 +152,7 @@ def suffix(path: Column) -> Column:
 def wanted(path: Column, extensions: tuple[str, ...]) -> Column:
     """Whether a path ends in one of the extensions, given with or without their dot."""
     s = suffix(path)
-    return s.isin(*extensions) | F.substring(s, 2, 100).isin(*[e for e in extensions if e])
+    return s.isin(*extensions) | F.ltrim(s, F.lit(".")).isin(*[e for e in extensions if e])
 
 
 def excluded(path: Column, patterns: tuple[str, ...]) -> Column:

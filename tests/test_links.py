@@ -106,3 +106,31 @@ def test_pictures_and_unknown_types(spark):
     assert html == ['<img alt="x" src="img/page3-1,2,30,40.jpg"><br>', ""]
     with pytest.raises(Exception, match="no block type"):
         df.withColumn("type", F.lit("Zut")).select(render.block_html(F.col("type"), F.col("text"), none)).collect()
+
+
+def test_titles_inside_texts(spark):
+    names = ["zonage", "les plans", "plans d'ensemble du centre", "gestion des eaux de pluie", "b", "eaux usées", "règles de construction du quartier sud", "construction du quartier", "x y z"]
+    texts = ["au zonage", "des surzonages", "selon les plans d'ensemble du centre, puis", "gestion des eaux de pluie et eaux usées", "règles de construction du quartier sud", "ax y zb", "", "y"]
+    titles = spark.createDataFrame([(n, n, k) for k, n in enumerate(names)], "__title string, __path string, __ord int")
+    rows = links.titles_inside(spark.createDataFrame([(t,) for t in texts], "__norm string"), titles).collect()
+    assert sorted((r["__norm"], r["__title"]) for r in rows) == sorted((t, n) for t in texts for n in names if n in t)
+    assert links.titles_inside(spark.createDataFrame([("a b c",)], "__norm string"), titles.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("la Loi sur les élections (chapitre E-2.2)", []),
+        ("la Loi sur les élections (RLRQ, c. E-2.2), art. 3", ["Loi sur les élections (RLRQ, c. E-2.2)"]),
+        ("Code de procédure (L. R. Q., c. C-25)", ["Code de procédure (L. R. Q., c. C-25)"]),
+        ("règlement relatif aux permis et les certificats", ["règlement relatif aux permis et les certificats"]),
+        ("règlement sur les plans d’implantation et d'intégration architecturale", ["règlement sur les plans d’implantation et d'intégration architecturale"]),
+        ("règlement concernant le bruit 99-12 et", ["règlement concernant le bruit 99-12"]),
+        ("l'article 3 de la section 2 du chapitre 5 du code civil", ["article 3 de la section 2 du chapitre 5 du code civil"]),
+        ("le sous-article 4", ["article 4"]),
+        ("sections 3 ou 4", ["3", "4"]),
+    ],
+)
+def test_grammar(spark, text, found):
+    df = spark.createDataFrame([(1, text)], "id int, t string")
+    assert [r["quote"] for r in links.references(df, "t", "id").orderBy("start").collect()] == found

@@ -21,7 +21,10 @@ CASES = [
     (GOOD.replace(",1,612", ",١,612"), "value"),
     (GOOD.replace(",1,2,3,4", ",10,9,3,4"), "value"),
     (GOOD.replace(",1,2,3,4", ",9,10,3,4"), None),
-    (GOOD.replace(",1,2,3,4", ",009,10,99999999999999999999999,100000000000000000000000"), None),
+    (GOOD.replace(",1,2,3,4", ",009,10,99999999999999999999999,100000000000000000000000"), "value"),
+    (GOOD.replace(",1,2,3,4", ",009,10,9223372036854775806,9223372036854775807"), None),
+    (GOOD.replace(",1,2,3,4", ",009,10,9223372036854775806,9223372036854775808"), "value"),
+    (GOOD.replace(",1,612", ",2147483648,612"), None),
     (GOOD.replace(",6,P", ",,P"), None),
     (GOOD.replace(",6,P", ",6x,P"), "value"),
     (GOOD.replace("#000", ""), None),

@@ -67,3 +67,14 @@ def test_changed_and_preferred(spark):
     new = spark.createDataFrame([("a", t), ("b", datetime(2024, 2, 1)), ("c", t), ("d", None)], "name string, modified timestamp_ntz")
     assert sorted(r["name"] for r in pages.changed(old, new).collect()) == ["b", "c", "d"]
     assert sorted(r["name"] for r in pages.prefer(old, new, "name").collect()) == ["a", "b", "c", "d"]
+
+
+def test_whole_numbers():
+    assert [files.whole(x) for x in ("7", " -7 ", "+7", "²", "--5", "", None, "1.5", "x", "٣", "2147483647", "2147483648", "9" * 5000)] == [7, -7, 7, None, None, None, None, None, None, 3, 2147483647, None, None]
+
+
+def test_blocks_with_words_and_links(spark, tmp_path):
+    words = [{"text": "un", "page": 2, "x0": 5, "top": 6, "x1": 9, "bottom": 10}, {"text": "deux", "page": 2, "x0": 1, "top": 7, "x1": 4, "bottom": 30}]
+    (tmp_path / "i.json").write_text(json.dumps([{"type": "Alinea", "contenu": words, "liens": [{"start": 0, "end": 2, "href": "u"}]}]))
+    r = files.read_images(spark, str(tmp_path / "i.json")).collect()[0]
+    assert (r["text"], r["page"], r["x0"], r["top"], r["x1"], r["bottom"], r["liens"][0]["href"]) == ("un deux", 2, 1, 6, 9, 30, "u")
