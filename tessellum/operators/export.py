@@ -68,3 +68,31 @@ def redirect_page(target: str) -> str:
 def pdf_link(url, page):
     """Column: a link to a page of the document's PDF; empty without an address."""
     return F.when(url.isNotNull(), F.concat(F.lit('<a target="_blank" href="'), url, F.lit("#page="), F.coalesce(page.cast("string"), F.lit("1")), F.lit('">PDF</a>'))).otherwise("")
+
+
+def documents_json(documents: DataFrame, elements: DataFrame, blocks: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """(fileid, json): whole documents with fileid, meta, paliers, contenu and pdfurl.
+
+    documents has fileid and meta (of metadata), maybe pdf; elements those of analyse; blocks the contents, those of types that
+    are no levels; links (fileid, first_idx, links). A document is one row then, like in the result.
+    """
+    from tessellum.schema import LEVELS as levels
+
+    tree = elements_json(elements).select("fileid", F.col("json").alias("tree"))
+    rows = blocks.where(~F.col("type").isin(*levels))
+    rows = rows.join(links, ["fileid", "first_idx"], "left") if links is not None else rows.withColumn("links", F.lit(None).cast("array<struct<start:int,end:int,href:string>>"))
+    block = F.to_json(F.struct("type", F.col("text").alias("contenu"), F.coalesce("links", F.array().cast("array<struct<start:int,end:int,href:string>>")).alias("liens"), F.array("x0", "top", "x1", "bottom").alias("_bbox"), F.col("page").alias("_page_number")), {"ignoreNullFields": "false"})
+    contents = rows.groupBy("fileid").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_idx", block.alias("json")))), lambda x: x["json"]), ",").alias("contents"))
+    meta = F.coalesce(F.to_json("meta"), F.lit("{}"))
+    pdf = F.coalesce(F.substring(F.to_json(F.array("pdf")), 2, 1 << 20), F.lit("null]")) if "pdf" in documents.columns else F.lit("null]")
+    # The array's brackets go, so that an address is escaped as JSON wants it.
+    address = F.regexp_replace(pdf, r"\]\z", "")
+    head = F.substring(F.to_json(F.struct("fileid")), 2, 1 << 20)
+    out = documents.join(tree, "fileid", "left").join(contents, "fileid", "left")
+    return out.select("fileid", F.concat(F.lit("{"), F.regexp_replace(head, r"\}\z", ""), F.lit(',"meta":'), meta, F.lit(',"paliers":{"Document":'), F.coalesce("tree", F.lit("[]")), F.lit('},"contenu":['), F.coalesce("contents", F.lit("")), F.lit('],"pdfurl":'), address, F.lit("}")).alias("json"))
+
+
+def downloads_json(files: DataFrame) -> DataFrame:
+    """(json): name to address and time of change of the files of a download (name, url, modified), by name, as the list kept beside them."""
+    part = F.struct("name", F.struct("url", "modified").alias("x"))
+    return files.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(part)))).alias("json"))

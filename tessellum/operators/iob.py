@@ -118,3 +118,17 @@ def update_tags(new: DataFrame, old: DataFrame, keys: tuple[str, ...], label: st
     """new with its empty labels filled from old rows of equal keys, else O. Of several old rows the greatest by last counts."""
     known = old.groupBy(*keys).agg(F.max_by(label, F.col("word_idx") if last is None else last).alias("__old"))
     return new.join(known, list(keys), "left").withColumn(label, F.coalesce(F.nullif(F.col(label), F.lit("")), F.col("__old"), F.lit("O"))).drop("__old")
+
+
+def lint_report(df: DataFrame, label: str = "seg") -> DataFrame:
+    """(fileid, first_idx, page, type, text, first_line, last_line, n_faults) of the blocks with faults (of lint).
+
+    Lines count from 2, as the first is the header, and by the words of blocks alone.
+    """
+    from tessellum.operators.scan import running_sum
+
+    blocks = running_sum(group_blocks(df, label), F.col("n_words"), "__upto", "first_idx", "fileid")
+    numbered = running_count(df.withColumn("__bio", split_label(F.col(label))[0]), F.col("__bio").isin("B", "O"), "bloc").select("fileid", "word_idx", "bloc")
+    counts = lint(df, label).select("fileid", "word_idx").join(numbered, ["fileid", "word_idx"]).groupBy("fileid", "bloc").agg(F.count("*").alias("n_faults"))
+    first = (F.col("__upto") - F.col("n_words") + 2).cast("bigint")
+    return blocks.join(counts, ["fileid", "bloc"]).select("fileid", "first_idx", "page", "type", "text", first.alias("first_line"), (first + F.col("n_words")).alias("last_line"), "n_faults")

@@ -81,3 +81,9 @@ def layout_class(label: Column) -> Column:
     bio, name = split_label(label)
     found = F.try_element_at(F.create_map(*[F.lit(x) for kv in LAYOUT_CLASSES.items() for x in kv]), name)
     return F.coalesce(F.concat(bio, F.lit("-"), found), F.lit("O"))
+
+
+def label_order(label: Column) -> list[Column]:
+    """What labels are sorted by: their type, then their prefix."""
+    bio, name = split_label(label)
+    return [name, bio]

@@ -156,6 +156,55 @@ def tagged_objects(words: DataFrame, wanted: tuple[str, ...] = ("Table", "Figure
     return rows.groupBy("fileid", "page", "__run", "type").agg(*hull, F.count("*").alias("n_words")).drop("__run")
 
 
+def tree_objects(nodes: DataFrame, marks: DataFrame, things: DataFrame, sizes: DataFrame | None = None, labels: dict[str, str] | None = None, wanted: tuple[str, ...] = ("Table", "Figure")) -> DataFrame:
+    """(fileid, page, node, type, x0, top, x1, bottom) of the outermost wanted nodes of tag trees, one for each page they are on.
+
+    nodes has fileid, node, parent, tag and box, the node's own box counted from the page's foot (an array, null if it has none);
+    marks the content marks of each node (fileid, node, page, mcid), things what stands on pages under a mark (fileid, page,
+    mcid and the box), sizes the page_height of pages with boxes of their own. A node below a wanted one is part of it. The box is the
+    node's own, else the hull of what its marks and those below it hold on the page, else -1 four times. labels maps tags to
+    types and leaves out those it hasn't; without it a Table is a Tableau.
+    """
+    from tessellum.session import materialize
+
+    below = nodes.select("fileid", F.col("parent").alias("__up"), "node", "tag", "box")
+    hit = F.col("tag").isin(*wanted)
+    outer = lambda top: F.coalesce(top, F.when(hit, F.struct("node", "tag", "box")))
+    level = materialize(below.where("__up IS NULL").select("fileid", "node", outer(F.lit(None).cast("struct<node:string,tag:string,box:array<double>>")).alias("top")), "tree")
+    found = level.where("top IS NOT NULL")
+    while not level.isEmpty():
+        last = level.select("fileid", F.col("node").alias("__up"), "top")
+        level = materialize(last.join(below, ["fileid", "__up"]).select("fileid", "node", outer(F.col("top")).alias("top")), "tree")
+        found = found.union(level.where("top IS NOT NULL"))
+    on = found.join(marks.select("fileid", "node", "page", "mcid"), ["fileid", "node"]).select("fileid", F.col("top.node").alias("node"), "top.tag", "top.box", "page", "mcid").distinct()
+    hull = [F.min("x0").alias("x0"), F.min("top").alias("top"), F.max("x1").alias("x1"), F.max("bottom").alias("bottom")]
+    held = on.join(things.select("fileid", "page", "mcid", *BOX), ["fileid", "page", "mcid"], "left")
+    rows = held.groupBy("fileid", "node", "tag", "page").agg(F.first("box").alias("box"), *hull)
+    own = F.lit(False)
+    if sizes is not None:
+        rows = rows.join(sizes.select("fileid", "page", "page_height"), ["fileid", "page"], "left")
+        own = F.col("box").isNotNull()
+    given = {"x0": F.col("box")[0], "x1": F.col("box")[2]}
+    if sizes is not None:
+        given |= {"top": F.col("page_height") - F.col("box")[3], "bottom": F.col("page_height") - F.col("box")[1]}
+    names = {"Table": "Tableau"} | {t: t for t in wanted if t != "Table"} if labels is None else labels
+    kind = F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col("tag"))
+    box = [F.coalesce(F.bround(F.when(own, given[c])).cast("int") if c in given else F.lit(None).cast("int"), F.bround(F.col(c)).cast("int"), F.lit(-1)).alias(c) for c in BOX]
+    return rows.select("fileid", "page", "node", kind.alias("type"), *box).where("type IS NOT NULL")
+
+
+def page_pictures(blocks: DataFrame) -> DataFrame:
+    """(fileid, page, n, pictures): the files of the pictures to cut from each page, by its tables and figures in order.
+
+    Boxes are cut to the page (page_width, page_height); those without an area have no picture.
+    """
+    from tessellum.operators.iob import image_name
+
+    named = clamp_boxes(blocks.where("type IN ('Tableau', 'Figure')").withColumn("__name", image_name()))
+    part = F.struct("first_idx", F.col("__name").alias("name"))
+    return named.groupBy("fileid", "page").agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda x: x["name"]), " ").alias("pictures"))
+
+
 #: Named box finders that need no model; vision models register themselves here.
 DETECTORS: dict[str, Callable[..., DataFrame]] = {"none": lambda words: tagged_objects(words).limit(0), "tags": tagged_objects}
 

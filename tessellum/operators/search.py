@@ -171,7 +171,7 @@ def search_index(index: dict[str, DataFrame], queries: DataFrame, prefix: str |
 
     With syntax q is read as clauses says, else as words any of which a document may hold.
     """
-    weighed, stored = index["weighed"], index["documents"].select("ref", "url", "titre")
+    weighed, stored = index["weighed"], index["documents"].select("ref", "url", "titre", *[c for c in ("pdf",) if c in index["documents"].columns])
     if syntax:
         scores = score_clauses(weighed, clauses(queries, index["bounds"].select("term")))
     else:

@@ -144,7 +144,8 @@ def contents_tree(df: DataFrame, order: str = "el_id", doc: str = "fileid") -> D
     after = F.coalesce("__after", F.lit(1))
     leaf = after <= F.col("depth")
     label = display_title(F.col("type"), F.col("numero"), F.col("titre"))
-    href = F.concat_ws("/", F.col(doc), F.array_join("path", "/"), F.lit("index.html"))
+    flat = F.when(F.col("type").isin("Article", "Annexe"), F.array("type", F.coalesce("numero", F.lit("")))).otherwise(F.col("path"))
+    href = F.concat_ws("/", F.col(doc), F.array_join(flat, "/"), F.lit("index.html"))
     link = F.concat(F.lit('<a href="'), href, F.lit('">'), label, F.lit("</a>"))
     opens = F.when(leaf, F.concat(F.lit('<li class="leaf '), F.col("type"), F.lit('">'), link, F.lit("</li>"))).otherwise(F.concat(F.lit('<li class="node '), F.col("type"), F.lit('"><details><summary>'), label, F.lit("</summary><ul><li>"), link, F.lit("</li>")))
     closes = F.when(F.col("depth") > after, F.repeat(F.lit("</ul></details></li>"), F.col("depth") - after)).otherwise("")
@@ -186,3 +187,40 @@ def tag_paths(nodes: DataFrame, doc: str = "fileid", node: str = "node", parent:
         if step.isEmpty():
             return reduce(DataFrame.unionByName, found)
         found.append(step)
+
+
+def by_level(df: DataFrame, order: str = "el_id", doc: str = "fileid") -> DataFrame:
+    """(doc, type, n, elements): the elements of each level of a document in order, as an array of structs."""
+    part = F.struct(F.col(order).alias("at"), "titre", "numero", "debut", "fin", "page")
+    return df.groupBy(doc, "type").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(part)).alias("elements"))
+
+
+def with_pdf(df: DataFrame, docs: DataFrame, doc: str = "fileid") -> DataFrame:
+    """df with pdf, the address of the document's PDF at the page of the row (column page, if df has it); null without one.
+
+    docs has the document and pdf; the greatest address of a document counts.
+    """
+    known = docs.groupBy(doc).agg(F.max("pdf").alias("__pdf"))
+    at = F.concat(F.lit("#page="), F.coalesce(F.col("page").cast("string"), F.lit("1"))) if "page" in df.columns else F.lit("")
+    return df.join(known, doc, "left").withColumn("pdf", F.concat("__pdf", at)).drop("__pdf")
+
+
+def sort_title(numero: Column, titre: Column) -> Column:
+    """What documents are listed by: number and title, or the title alone."""
+    title = F.coalesce(titre, F.lit(""))
+    return F.when(numero.isNull() | (numero == ""), title).otherwise(F.concat(numero, F.lit(": "), title))
+
+
+def documents_list(docs: DataFrame, outlines: DataFrame, doc: str = "fileid") -> DataFrame:
+    """(html): the list of all documents by natural order of number and title, each with its outline and its PDF, in one row.
+
+    docs has the document, numero, titre and pdf; outlines (of outline_html) the document and html. The list is one page, so it is
+    made in one task, like any page; it grows with the documents' outlines.
+    """
+    name = sort_title(F.col("numero"), F.col("titre"))
+    pdf = F.when(F.col("pdf").isNotNull(), F.concat(F.lit(' (<a target="_blank" href="'), "pdf", F.lit('">PDF</a>)'))).otherwise("")
+    text = F.concat(F.lit('<ul><li class="text"><a target="_blank" href="'), doc, F.lit('/index.html">Texte intégral</a>'), pdf, F.lit("</li>"))
+    entry = F.concat(F.lit('<li class="node Document"><details id="'), doc, F.lit('"><summary>'), name, F.lit("</summary>"), text, F.coalesce("html", F.lit("")), F.lit("</ul></details></li>"))
+    rows = docs.join(outlines.select(doc, "html"), doc, "left").select(natural_key(name).alias("k"), doc, entry.alias("entry"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", doc, "entry"))), lambda x: x["entry"]), "")
+    return rows.agg(F.concat(F.lit('<ul id="body">'), whole, F.lit("</ul>")).alias("html"))

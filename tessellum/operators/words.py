@@ -63,3 +63,20 @@ def running_count(df: DataFrame, flag: Column, name: str, order: str = "word_idx
     one = F.when(flag, 1).otherwise(0)
     local = Window.partitionBy(doc, page).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn(name, F.sum(one).over(local)).join(page_offsets(df, one, doc, page, "__before"), [doc, page]).withColumn(name, F.col(name) + F.col("__before")).drop("__before")
+
+
+def numbered(df: DataFrame, order: list[str], name: str = "ref") -> DataFrame:
+    """df with the place of each row in the order of the columns, from 0, like enumerate.
+
+    Rows are range-partitioned and numbered within each partition; the counts of the partitions before, one row each, are added.
+    The rows are written once between, so that both readings see one partitioning. The order has to tell rows apart.
+    """
+    from tessellum.session import materialize
+
+    rows = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    local = Window.partitionBy("__part").orderBy(*order)
+    rows = materialize(rows.withColumn("__at", F.row_number().over(local)), "numbered")
+    sums = rows.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    offsets = sums.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return rows.join(offsets, "__part").withColumn(name, F.col("__at") + F.col("__before") - 1).drop("__part", "__at", "__before")

@@ -76,16 +76,17 @@ def open_elements(blocks: DataFrame) -> DataFrame:
 PAGE = ('<!DOCTYPE html>\n<html lang="fr"><head><meta charset="UTF-8"><title>', '</title></head><body><div class="container"><h1 id="header">', '</h1><div id="body">', "</div></div></body></html>\n")
 
 
-def page_tree(words: DataFrame) -> DataFrame:
-    """(page_path, html): each document as one page, a page for each of its elements with all below it, and the lists of elements.
+def page_tree(words: DataFrame, addresses: DataFrame | None = None) -> DataFrame:
+    """(page_path, html): the list of documents, each document as one page, a page for each of its elements with all below it,
+    and the lists of elements.
 
-    Articles and annexes are listed by document, of the other types those right below the document. Of elements with one path
+    addresses has fileid and pdf; pages of documents that have one lead to it, those of elements to their page of it. Articles and annexes are listed by document, of the other types those right below the document. Of elements with one path
     the last counts.
     """
     parts = analyse(words)
     blocks, elements, documents = parts["blocks"], parts["elements"], parts["documents"]
-    last = structure.page_paths(elements).groupBy("fileid", "page_path").agg(F.max("el_id").alias("on"), F.max_by("titre", "el_id").alias("name"))
-    whole = documents.select("fileid", F.concat("fileid", F.lit("/index.html")).alias("page_path"), F.lit(-1).cast("bigint").alias("on"), F.col("titre").alias("name"))
+    last = structure.page_paths(elements).groupBy("fileid", "page_path").agg(F.max("el_id").alias("on"), F.max_by("titre", "el_id").alias("name"), F.max_by("page", "el_id").alias("at_page"))
+    whole = documents.select("fileid", F.concat("fileid", F.lit("/index.html")).alias("page_path"), F.lit(-1).cast("bigint").alias("on"), F.col("titre").alias("name"), F.lit(None).cast("int").alias("at_page"))
     # The file is passed through an expression, as Spark 4.1 may take a union of parts that are split alike for split itself.
     every = materialize(whole.unionByName(last.withColumn("fileid", F.concat("fileid", F.lit("")))), "page-list")
     inner = F.expr("substring(page_path, length(fileid) + 2, length(page_path) - length(fileid) - 12)")
@@ -99,11 +100,22 @@ def page_tree(words: DataFrame) -> DataFrame:
     own = F.col("first_idx") == F.col("on")
     back = F.when(F.col("srcpath") == ".", "img").otherwise(F.concat(F.repeat(F.lit("../"), F.size(F.split("srcpath", "/"))), F.lit("img")))
     body = render.nested_html(rows.where(F.col("shown") | own).join(linked, ["fileid", "on", "first_idx"], "left"), F.col("links"), ["fileid", "on"], own, back)
-    titled = documents.select("fileid", F.col("titre").alias("doc_titre"), F.col("numero").alias("doc_numero"))
+    addresses = words.sparkSession.createDataFrame([], "fileid string, pdf string") if addresses is None else addresses
+    titled = structure.with_pdf(documents, addresses).select("fileid", F.col("titre").alias("doc_titre"), F.col("numero").alias("doc_numero"), "pdf")
     named = F.when(F.col("doc_titre") == "Document", F.col("name")).when(F.col("doc_numero") != "", F.concat("doc_numero", F.lit(" "), "doc_titre")).otherwise(F.col("doc_titre"))
     made = every.join(body, ["fileid", "on"], "left").join(titled, "fileid")
-    pages = made.select("page_path", wrapped(F.coalesce("name", F.lit("")), F.coalesce(named, F.lit("")), F.coalesce("html", F.lit(""))).alias("html"))
-    return pages.union(section_pages(elements, documents))
+    address = F.when(F.col("at_page").isNull(), F.col("pdf")).otherwise(F.concat("pdf", F.lit("#page="), F.col("at_page").cast("string")))
+    banner = F.concat(F.coalesce(named, F.lit("")), F.when(address.isNull(), "").otherwise(F.concat(F.lit(' (<a target="_blank" href="'), address, F.lit('">PDF</a>)'))))
+    pages = made.select("page_path", wrapped(F.coalesce("name", F.lit("")), banner, F.coalesce("html", F.lit(""))).alias("html"))
+    return pages.union(section_pages(elements, documents)).union(documents_page(elements, documents, addresses))
+
+
+def documents_page(elements: DataFrame, documents: DataFrame, addresses: DataFrame) -> DataFrame:
+    """(page_path, html): the one list of all documents, above their folders."""
+    linked = structure.with_pdf(documents.drop("page"), addresses)
+    title = F.lit("Règlements")
+    listed = structure.documents_list(linked, structure.outline_html(elements))
+    return listed.select(F.lit("index.html").alias("page_path"), wrapped(title, title, F.col("html")).alias("html"))
 
 
 def section_pages(elements: DataFrame, documents: DataFrame) -> DataFrame:
@@ -124,11 +136,14 @@ def wrapped(title: Column, banner: Column, body: Column) -> Column:
     return F.concat(F.lit(PAGE[0]), title, F.lit(PAGE[1]), banner, F.lit(PAGE[2]), body, F.lit(PAGE[3]))
 
 
-def search_documents(elements: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(ref, url, titre, texte): each element with all contents of its interval, those of the elements below it too, to be indexed."""
+def search_documents(elements: DataFrame, blocks: DataFrame, addresses: DataFrame | None = None) -> DataFrame:
+    """(ref, url, titre, texte, and pdf where addresses has fileid and pdf): each element with all contents of its interval, those of the elements below it too, to be indexed."""
     contents = open_elements(blocks).where(F.col("type").isin(*[t for t, tag in render.BLOCK_TAGS.items() if tag]))
     inside = contents.select("fileid", F.explode("within").alias("el_id"), "first_idx", "text")
     texts = inside.groupBy("fileid", "el_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_idx", "text"))), lambda x: x["text"]), "\n\n").alias("texte"))
     e = structure.page_paths(elements)
     title = structure.display_title(F.col("type"), F.col("numero"), F.col("titre"))
-    return e.join(texts, ["fileid", "el_id"], "left").select(F.xxhash64("fileid", "el_id").alias("ref"), F.col("page_path").alias("url"), title.alias("titre"), F.coalesce("texte", F.lit("")).alias("texte"))
+    rows = e.join(texts, ["fileid", "el_id"], "left")
+    pdf = ["pdf"] if addresses is not None else []
+    rows = structure.with_pdf(rows, addresses) if pdf else rows
+    return rows.select(F.xxhash64("fileid", "el_id").alias("ref"), F.col("page_path").alias("url"), title.alias("titre"), F.coalesce("texte", F.lit("")).alias("texte"), *pdf)

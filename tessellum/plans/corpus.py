@@ -270,31 +270,64 @@ def layout_classes(spark, d):
     return document.tidy(spark, d).select("fileid", "word_idx", metrics.layout_class(F.col("seg")).alias("yolo"))
 
 
-def halves(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Words to train on, and those of the quarter of the files that a chain is scored on."""
-    words = document.tidy(spark, d).withColumn("fold", crf.fold_of("fileid", folds=4))
-    return words.where("fold > 0"), words.where("fold = 0")
+#: Chains of this process by session, folder and kind, so that a model is trained once.
+_trained: dict[tuple, object] = {}
+SETTINGS = {"max_pages": 150, "epochs": 3}
+
+
+def trained(spark: SparkSession, d: str, kind: str):
+    key = (spark.sparkContext.applicationId, d, kind)
+    if key not in _trained:
+        words = document.tidy(spark, d)
+        _trained[key] = crf.train(words, **SETTINGS) if kind == "all" else crf.fold_chains(words, 4, **SETTINGS)
+    return _trained[key]
 
 
 @query()
 def crf_decode(spark, d):
     """Block labels of all pages by a chain trained on some of them."""
-    words = document.tidy(spark, d)
-    return crf.label_pages(words, crf.train(words, max_pages=150, epochs=3))
+    return crf.label_pages(document.tidy(spark, d), trained(spark, d, "all"))
 
 
 @query()
 def crf_scores(spark, d):
-    """How well the chain labels files it hasn't seen: F1 of the labels that begin a block, with their averages."""
-    train, test = halves(spark, d)
-    found = crf.label_pages(test, crf.train(train, max_pages=150, epochs=3)).join(test.select("fileid", "page", "word_idx", "seg"), ["fileid", "page", "word_idx"])
-    return metrics.report(found, "seg", "predicted", F.col("label").startswith("B-")).select("label", "f1", "support")
+    """How well chains label files they haven't seen: F1 of the labels that begin a block, by fold, with the average."""
+    words = document.tidy(spark, d)
+    found = crf.cross_label(words, trained(spark, d, "folds")).join(words.select("fileid", "page", "word_idx", "seg"), ["fileid", "page", "word_idx"])
+    return metrics.fold_scores(found, "seg", "predicted", "fold", 4, F.col("label").startswith("B-"))
+
+
+@query()
+def crf_vote(spark, d):
+    """Block labels of all pages by the vote of the folds' chains."""
+    return crf.vote_labels(document.tidy(spark, d), trained(spark, d, "folds"))
 
 
 @query()
 def crf_moves(spark, d):
     """The strongest weights between labels."""
-    return crf.explain(crf.train(halves(spark, d)[0], max_pages=150, epochs=3), spark)
+    return crf.explain(trained(spark, d, "all"), spark)
+
+
+@query("WITH {words} SELECT CAST(fileid AS VARCHAR) AS fileid, page, word_idx FROM words")
+def crf_words(spark, d):
+    """The words that are labelled: each once, by labels of the vocabulary alone."""
+    found = crf.label_pages(document.tidy(spark, d), trained(spark, d, "all"))
+    return found.where(F.col("predicted").rlike(r"^(?:O|I|[BI]-[A-Za-z]+)\z")).select("fileid", "page", "word_idx")
+
+
+@query("WITH {words}, {blocks}, {boxes} SELECT a.fileid, a.page, a.box AS a_box, b.box AS b_box FROM boxes a JOIN boxes b ON a.fileid = b.fileid AND a.page = b.page AND a.box < b.box WHERE FALSE")
+def merged_overlaps(spark, d):
+    """Boxes that still overlap after merging: none."""
+    rows = objects.merge_overlaps(boxes(spark, d).withColumn("place", F.col("box").cast("int"))).withColumn("box", F.col("place").cast("bigint"))
+    return objects.overlapping_pairs(rows.select("fileid", "page", "box", *iob.BOX)).select("fileid", "page", "a_box", "b_box")
+
+
+@query("WITH {words}, {blocks} SELECT fileid, page, sum(n) AS n_boxes, min(x0) AS x0, min(top) AS top, max(x1) AS x1, max(bottom) AS bottom FROM (SELECT *, 1 AS n FROM blocks) GROUP BY fileid, page")
+def merged_hulls(spark, d):
+    """What merging keeps: the number of boxes of each page and their common hull."""
+    rows = objects.merge_overlaps(boxes(spark, d).withColumn("place", F.col("box").cast("int")))
+    return rows.groupBy("fileid", "page").agg(F.sum("n_merged").alias("n_boxes"), F.min("x0").alias("x0"), F.min("top").alias("top"), F.max("x1").alias("x1"), F.max("bottom").alias("bottom"))
 
 
 # Pages, made of the index.

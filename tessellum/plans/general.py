@@ -56,11 +56,23 @@ def _raw_checks() -> str:
           OR {f["text"]} = '' OR contains({f["text"]}, chr(65533)) THEN 'value' END AS reason FROM fielded)"""
 
 
+NEWEST = "docs AS (SELECT fileid, json(max_by(record, struct_pack(a := loaded_at, b := record))) AS r FROM doc_records WHERE record IS NOT NULL GROUP BY fileid)"
+
+
+def _listed(node: str, path: str) -> str:
+    """SQL: the list at a path of a JSON value; a lone object is a list of one."""
+    return f"CASE json_type({node} -> '{path}') WHEN 'ARRAY' THEN CAST({node} -> '{path}' AS JSON[]) WHEN 'OBJECT' THEN [{node} -> '{path}'] ELSE [] END"
+
+
 def oracle_sql() -> dict[str, str]:
     typed = ", ".join(f"try_cast(nullif(f[{i}], '') AS BIGINT) AS {c}" if c in WORD_INTS else f"nullif(f[{i}], '') AS {c}" for i, c in enumerate(WORD_COLUMNS, 1))
     return {
         "p2_found": f"WITH {_raw_checks()} SELECT row_id, reason FROM judged WHERE reason IS NOT NULL",
         "p2_valid": f"WITH {_raw_checks()} SELECT row_id, path, line_no, {typed} FROM judged WHERE reason IS NULL",
+        "p5_words": f"""
+        WITH {NEWEST}, blocs AS (SELECT fileid, i, b[i + 1] AS bloc FROM (SELECT fileid, {_listed("r", "$.contenu")} AS b FROM docs) t, unnest(range(len(b))) AS u(i)),
+        mots AS (SELECT fileid, 'contenu/' || i AS parent, CAST(j AS INTEGER) AS place, m[j + 1] AS mot FROM (SELECT fileid, i, {_listed("bloc", "$.contenu")} AS m FROM blocs WHERE json_type(bloc) = 'OBJECT') t, unnest(range(len(m))) AS u(j))
+        SELECT fileid, parent, place, mot ->> '$.text' AS text, {", ".join(f"try_cast(mot ->> '$.{c}' AS INTEGER) AS {c}" for c in ("page", "x0", "x1", "top", "bottom"))} FROM mots WHERE json_type(mot) = 'OBJECT'""",
         "p5_found": """
         WITH RECURSIVE docs AS (SELECT fileid, json(max_by(record, struct_pack(a := loaded_at, b := record))) AS r FROM doc_records WHERE record IS NOT NULL GROUP BY fileid),
         tree AS (

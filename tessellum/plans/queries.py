@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import corpus, document, general, outline
+from . import corpus, document, general, outline, trees
 
-PARTS = (general, document, outline, corpus)
+PARTS = (general, document, outline, corpus, trees)
 
 
 def queries() -> dict[str, object]:

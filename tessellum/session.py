@@ -44,6 +44,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _own: str | None = None
+_written: list[str] = []
+
+
+def clear_materialized(spark: SparkSession) -> int:
+    """Delete the tables that materialize wrote for this process, once no result that reads them is needed; gives their number."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += path.getFileSystem(conf).delete(path, True)
+    return n
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -53,5 +65,6 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -87,13 +87,27 @@ def describe_words(words: DataFrame, chars: DataFrame, tags: DataFrame) -> DataF
 
 
 def read_pdfs(spark: SparkSession, parser, *paths: str) -> DataFrame:
-    """Words of PDF files by a parser of (path, bytes) into rows of read_words; no parser comes with the library."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(list(paths))
+    """Words of PDF files by a parser of (path, bytes) into words as dicts, in reading order; no parser comes with the library.
+
+    What a word lacks is null; path, fileid (the file's name) and word_idx (the place) are filled in where the parser gives none.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", "true").load(list(paths))
+    names = [c.split()[0] for c in WORDS.split(", ")]
+
+    def frame(rows: list[dict]) -> pd.DataFrame:
+        columns = {c: [r.get(c) for r in rows] for c in names}
+        return pd.DataFrame({c: pd.array(v, dtype="Int64") if c in WORD_INTS else pd.Series(v, dtype=object) for c, v in columns.items()})
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                yield from parser(path, bytes(content))
+                stem, rows = path.rsplit("/", 1)[-1][: -len(".pdf")], []
+                for k, word in enumerate(parser(path, bytes(content))):
+                    rows.append({"path": path, "fileid": stem, "word_idx": k} | dict(word))
+                    if len(rows) >= 50_000:
+                        yield frame(rows)
+                        rows = []
+                yield frame(rows)
 
     return files.select("path", "content").mapInPandas(run, WORDS)
 
@@ -117,3 +131,11 @@ def document_urls(text: DataFrame, column: str = "value") -> DataFrame:
     parsed = text.select(F.explode(F.from_json(column, "map<string,struct<url:string,modified:string>>")).alias("name", "x"))
     rows = parsed.select("name", "x.url", "x.modified")
     return rows.unionByName(rows.where(F.contains("name", F.lit("%20"))).withColumn("name", F.replace("name", F.lit("%20"), F.lit(" "))))
+
+
+def named_parser(name: str):
+    """The function that module:function names."""
+    import importlib
+
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)

@@ -112,6 +112,11 @@ def section_links(html: str, section: str) -> list[str]:
     return out
 
 
+def page_links(html: str) -> list[str]:
+    """Addresses of all links of a page, in order."""
+    return [x[1]["href"] for x in walk(Tree(html).root) if x[0] == "a" and "href" in x[1]]
+
+
 def per_page(pages: DataFrame, function, schema: str, key: str = "url", html: str = "html") -> DataFrame:
     """Rows that a function of a page's HTML gives, each a tuple, with the page's key. Null pages have none."""
 

@@ -39,10 +39,26 @@ def test_query(name, spark, duck, sf_dir):
     assert got == want
 
 
-def test_queries_without_sql_run(spark, sf_dir):
-    for name, query in entry.queries().items():
-        if name not in SQL and not name.startswith("p"):
-            assert query(spark, sf_dir).count() >= 0, name
+#: What each query without SQL has to give, as a condition over its rows.
+HOLDS = {
+    "merge_overlaps": "n_merged >= 1 AND x0 <= x1 AND top <= bottom AND type IS NOT NULL",
+    "crf_decode": "predicted RLIKE '^(O|I|[BI]-[A-Za-z]+)$'",
+    "crf_vote": "predicted RLIKE '^(O|I|[BI]-[A-Za-z]+)$'",
+    "crf_scores": "average BETWEEN 0 AND 1 AND (label = 'ALL' OR label LIKE 'B-%')",
+    "crf_moves": "weight IS NOT NULL AND from_label IS NOT NULL",
+    "p4_pieces": "end_pos > start_pos AND length(text) = end_pos - start_pos AND shared >= 0",
+    "p6_leaks": "distance BETWEEN 0 AND 1 AND run_words >= 7 AND windows >= 1 AND (distance = 0) = (run_words >= 15)",
+    "p7_found": "mix_id IS NOT NULL AND source IS NOT NULL",
+    "p7_chosen": "uses >= 1 AND tokens >= 0",
+    "p7_shares": "used_tokens <= max_uses * source_tokens AND (actual_share BETWEEN 0 AND 1 OR actual_share IS NULL)",
+    "p8_found": "end_pos > start_pos AND start_pos >= 0",
+}
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(SQL)))
+def test_query_without_sql(name, spark, sf_dir):
+    rows = entry.queries()[name](spark, sf_dir)
+    assert rows.where(f"NOT coalesce({HOLDS[name]}, false)").isEmpty() and not rows.isEmpty()
 
 
 def test_entry(spark):

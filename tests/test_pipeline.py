@@ -70,7 +70,7 @@ def test_commands(spark, folder, tmp_path):
     assert os.path.exists(tmp_path / "pages" / "doc" / "index.html")
     go("json", folder, tmp_path / "json")
     tree = json.loads(spark.read.json(str(tmp_path / "json")).collect()[0]["json"])
-    assert [e["numero"] for e in tree[0]["sub"]] == ["1", "2"]
+    assert [e["numero"] for e in tree["paliers"]["Document"][0]["sub"]] == ["1", "2"]
     go("html", folder, tmp_path / "html")
     go("annotate", folder, tmp_path / "boxes")
     assert spark.read.csv(str(tmp_path / "boxes"), header=True).count() == len(LINES)
