@@ -124,13 +124,17 @@ PIECES = "item_id bigint, piece int, start_pos int, end_pos int, shared int, tex
 
 
 def split_batches(keep_text: bool):
-    """For mapInPandas over texts that are longer than their limit."""
+    """For mapInPandas over items with their length; a text that isn't cut is only passed on, and not there unless it is kept."""
     names = [c.split()[0] for c in PIECES.split(", ")]
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for pdf in batches:
-            for item, text, most, overlap in zip(pdf["item_id"], pdf["text"], pdf["max_chars"], pdf["overlap"], strict=True):
+            fits = pdf["item_chars"] <= pdf["max_chars"]
+            whole = pdf[fits]
+            yield whole.assign(piece=0, start_pos=0, end_pos=whole["item_chars"], shared=0, item_run=None)[names]
+            long = pdf[~fits]
+            for item, text, most, overlap in zip(long["item_id"], long["text"], long["max_chars"], long["overlap"], strict=True):
                 longest = max(map(len, ALNUM.findall(text)), default=0)
                 rows += [(item, k, a, b, s, text[a:b] if keep_text else None, len(text), longest) for k, (a, b, s) in enumerate(pieces(text, int(most), int(overlap)))]
                 if len(rows) > 20_000:
@@ -145,7 +149,7 @@ def split_oversized(df: DataFrame, item: str, text: str, max_chars: int | Column
     """Pieces of every text: item_id, piece, start_pos, end_pos, shared, text, item_chars, item_run.
 
     Atomic segments are merged along the weakest boundaries first as long as a piece and its overlap stay within max_chars; a
-    text within it is one piece, and takes no Python. item_run is the longest run of letters and digits of an item that is cut,
+    text within it is one piece. item_run is the longest run of letters and digits of an item that is cut,
     else null. Positions count code points. Without keep_text the pieces' texts are null.
 
     Rows of an equal item count once: the newest by the column of that name, then the greatest text. Rows with a null item or
@@ -158,8 +162,4 @@ def split_oversized(df: DataFrame, item: str, text: str, max_chars: int | Column
     rows = rows.where("text <> '' AND max_chars IS NOT NULL AND overlap IS NOT NULL").withColumn("item_chars", F.length("text"))
     wrong = F.raise_error(F.concat(F.lit("an overlap of "), "overlap", F.lit(" doesn't go with pieces of "), "max_chars", F.lit(" characters")))
     fits = F.when((F.col("overlap") < 0) | (F.col("overlap") >= F.col("max_chars")), wrong.cast("boolean")).otherwise(F.col("item_chars") <= F.col("max_chars"))
-    whole = rows.where(fits).select(
-        "item_id", F.lit(0).alias("piece"), F.lit(0).alias("start_pos"), F.col("item_chars").alias("end_pos"), F.lit(0).alias("shared"),
-        (F.col("text") if keep_text else F.lit(None).cast("string")).alias("text"), "item_chars", F.lit(None).cast("int").alias("item_run"),
-    )
-    return whole.unionByName(rows.where(~fits).drop("item_chars").mapInPandas(split_batches(keep_text), PIECES))
+    return rows.select("item_id", F.when(F.lit(keep_text) | ~fits, F.col("text")).alias("text"), "item_chars", "max_chars", "overlap").mapInPandas(split_batches(keep_text), PIECES)
