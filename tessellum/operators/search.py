@@ -44,7 +44,11 @@ def build_index(docs: DataFrame, ref: str = "ref", fields: dict[str, float] | No
     by the column of that name, then the one with the greatest texts.
     """
     fields = fields or {"titre": 2.0, "texte": 1.0}
-    rows = latest(docs.select(ref, *([newest] if newest else []), *fields), ref, newest)
+    return index_once(latest(docs.select(ref, *([newest] if newest else []), *fields), ref, newest), ref, fields)
+
+
+def index_once(rows: DataFrame, ref: str, fields: dict[str, float]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """build_index of documents that are there once each."""
     of = [F.struct(F.lit(f).alias("field"), tokens(F.col(f)).alias("terms")) for f in fields]
     split = materialize(rows.select(F.col(ref).alias("ref"), F.inline(F.array(*of))), "terms").withColumn("length", F.size("terms"))
     one = split.select("ref", "field", "length", F.explode("terms").alias("term"))
@@ -70,14 +74,32 @@ MARGIN = 1e-5
 
 
 def bounds(weighed: DataFrame) -> DataFrame:
-    """(term, top): the greatest impacts of each term over documents, all fields together, the greatest first.
+    """(term, df, top): the documents of each term and its greatest impacts, all fields together, the greatest first.
 
     Ranks are taken in two steps, so that the documents of a term in all of them are ranked in many tasks first.
     """
     rows = weighed.groupBy("term", "ref").agg(F.sum("impact").alias("impact")).withColumn("part", F.pmod(F.xxhash64("ref"), F.lit(64)))
-    for keys in (["term", "part"], ["term"]):
-        rows = rows.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("impact")))).where(F.col("k") <= DEPTH)
-    return rows.groupBy("term").agg(F.sort_array(F.collect_list("impact"), asc=False).alias("top"))
+    greatest = lambda c: F.slice(F.sort_array(c, asc=False), 1, DEPTH)
+    parts = rows.groupBy("term", "part").agg(F.count("*").alias("n"), greatest(F.collect_list("impact")).alias("some"))
+    return parts.groupBy("term").agg(F.sum("n").alias("df"), greatest(F.flatten(F.collect_list("some"))).alias("top"))
+
+
+#: Rows of asked terms that go to all executors; more of them are joined like any table.
+BROADCAST_ROWS = 1_000_000
+
+
+def summed(weighed: DataFrame, asked: DataFrame, *kept: str) -> DataFrame:
+    """(query_id, ref, s and the kept columns of asked): the impacts of the asked terms summed by query and document.
+
+    The lists of the asked terms are spread by document, so that all of a document's terms are in one task and pairs of
+    queries and documents, which are many more than either, are summed where they arise.
+    """
+    few = asked.count() <= BROADCAST_ROWS
+    small = F.broadcast if few else (lambda x: x)
+    # The number is named, as adaptive execution would take few tasks for lists that are small before they meet the queries.
+    n = int(weighed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lists = weighed.join(small(asked.select("term").distinct()), "term", "left_semi").repartition(n, "ref").groupBy("ref", "term").agg(F.sum("impact").alias("impact"))
+    return lists.join(small(asked), "term").groupBy("query_id", "ref").agg(F.sum("impact").alias("s"), *[F.first(c).alias(c) for c in kept])
 
 
 def score(weighed: DataFrame, asked: DataFrame, limits: DataFrame | None = None, k: int = 10) -> DataFrame:
@@ -86,20 +108,25 @@ def score(weighed: DataFrame, asked: DataFrame, limits: DataFrame | None = None,
     asked has query_id and term, as tokens gives them. With limits (of bounds) documents are left out that cannot be: a query's
     k-th score is at least the k-th impact of any of its terms. Terms whose greatest impacts together stay below that make no
     document one of the best by themselves, so only the lists of the other terms are read; of the documents found there, those
-    that even the greatest impacts of the rest would not lift to it go, and for those left the rest is looked up.
+    that even the greatest impacts of the rest would not lift to it go, and for those left the rest is looked up. Queries are
+    cut so only where it saves more than half of their lists, and of all lists; the results are the same either way.
     """
     asked = asked.select("query_id", "term").distinct()
     if limits is None or k > DEPTH:
-        hits = asked.join(weighed, "term").groupBy("query_id", "ref").agg(F.sum("impact").alias("s"))
-        return hits.select("query_id", "ref", F.round("s", 6).alias("score"))
-    known = asked.join(limits, "term").select("query_id", "term", F.get("top", F.lit(0)).alias("most"), F.coalesce(F.get("top", F.lit(k - 1)), F.lit(0.0)).alias("kth"))
+        return summed(weighed, materialize(asked, "asked")).select("query_id", "ref", F.round("s", 6).alias("score"))
+    known = asked.join(limits, "term").select("query_id", "term", "df", F.get("top", F.lit(0)).alias("most"), F.coalesce(F.get("top", F.lit(k - 1)), F.lit(0.0)).alias("kth"))
     w = Window.partitionBy("query_id")
     below = F.sum("most").over(w.orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0))
-    plan = known.withColumns({"floor": F.max("kth").over(w) - MARGIN, "below": below})
-    plan = materialize(plan.withColumn("needed", F.col("below") >= F.col("floor")).withColumn("rest", F.coalesce(F.sum(F.when(~F.col("needed"), F.col("most"))).over(w), F.lit(0.0))), "search-plan")
-    found = plan.where("needed").join(weighed, "term").groupBy("query_id", "ref").agg(F.sum("impact").alias("s"), F.first("floor").alias("floor"), F.first("rest").alias("rest"))
-    found = found.where("s + rest >= floor").select("query_id", "ref", "s")
-    others = found.select("query_id", "ref").join(plan.where("NOT needed").select("query_id", "term"), "query_id").join(weighed, ["term", "ref"]).groupBy("query_id", "ref").agg(F.sum("impact").alias("more"))
+    plan = known.withColumns({"floor": F.max("kth").over(w) - MARGIN, "weak": below < F.max("kth").over(w) - MARGIN})
+    saves = 2 * F.coalesce(F.sum(F.when(F.col("weak"), F.col("df"))).over(w), F.lit(0)) > F.sum("df").over(w)
+    plan = plan.withColumn("needed", ~(F.col("weak") & saves))
+    plan = materialize(plan.withColumn("rest", F.coalesce(F.sum(F.when(~F.col("needed"), F.col("most"))).over(w), F.lit(0.0))), "search-plan")
+    rows = plan.agg(F.sum("df").alias("all"), F.sum(F.when(~F.col("needed"), F.col("df"))).alias("saved")).first()
+    if 2 * (rows["saved"] or 0) <= (rows["all"] or 0):
+        return summed(weighed, plan.select("query_id", "term")).select("query_id", "ref", F.round("s", 6).alias("score"))
+    found = summed(weighed, plan.where("needed").select("query_id", "term", "floor", "rest"), "floor", "rest").where("s + rest >= floor").select("query_id", "ref", "s")
+    left = plan.where("NOT needed").select("query_id", "term")
+    others = found.select("query_id", "ref").join(left, "query_id").join(weighed, ["term", "ref"]).groupBy("query_id", "ref").agg(F.sum("impact").alias("more"))
     return found.join(others, ["query_id", "ref"], "left").select("query_id", "ref", F.round(F.col("s") + F.coalesce("more", F.lit(0.0)), 6).alias("score"))
 
 
@@ -150,7 +177,7 @@ INDEX_TABLES = ("documents", "weighed", "bounds")
 def index_tables(docs: DataFrame, ref: str = "ref", newest: str | None = None) -> dict[str, DataFrame]:
     """What searches need: the stored documents, the impacts of terms and their bounds."""
     stored = materialize(latest(docs, ref, newest).withColumnRenamed(ref, "ref"), "stored")
-    weighed = materialize(impacts(*build_index(stored)), "impacts")
+    weighed = materialize(impacts(*index_once(stored, "ref", {"titre": 2.0, "texte": 1.0})), "impacts")
     return {"documents": stored, "weighed": weighed, "bounds": bounds(weighed)}
 
 

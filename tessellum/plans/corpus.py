@@ -52,6 +52,17 @@ def field_stats(spark, d):
     return search.build_index(docs(spark, d))[2].withColumn("mean_length", F.round("mean_length", 6))
 
 
+#: Indexes of this process by session and folder, so that one is built once and searched many times.
+_indexes: dict[tuple, dict] = {}
+
+
+def stored_index(spark: SparkSession, d: str) -> dict:
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _indexes:
+        _indexes[key] = search.index_tables(docs(spark, d), newest="indexed_at")
+    return _indexes[key]
+
+
 def asked(spark: SparkSession, d: str) -> DataFrame:
     """The terms of each query that was searched for."""
     rows = table(spark, d, "search_results").where("termes IS NOT NULL")
@@ -60,7 +71,7 @@ def asked(spark: SparkSession, d: str) -> DataFrame:
 
 @query("WITH {index}, {scores}, ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ref) AS INTEGER) AS hit_rank FROM scored) SELECT query_id, hit_rank, ref, score FROM ranked WHERE hit_rank <= 10")
 def bm25_topk(spark, d):
-    index = search.index_tables(docs(spark, d), newest="indexed_at")
+    index = stored_index(spark, d)
     return search.top_hits(search.score(index["weighed"], asked(spark, d), index["bounds"])).select("query_id", "hit_rank", "ref", "score")
 
 
@@ -83,7 +94,7 @@ SQL_CLAUSES = ", ".join(f"({q}, {c}, {m}, {f}, {b}, '{t}')" for q, c, m, f, b, t
 def search_syntax(spark, d):
     """Queries with fields, boosts, wildcards, words that have to be there and words that must not."""
     asks = spark.createDataFrame(list(enumerate(CLAUSES)), "query_id int, q string")
-    return search.search(docs(spark, d), asks, newest="indexed_at", syntax=True).select("query_id", "hit_rank", "ref", "score")
+    return search.search_index(stored_index(spark, d), asks, syntax=True).select("query_id", "hit_rank", "ref", "score")
 
 
 @query(
@@ -92,7 +103,7 @@ def search_syntax(spark, d):
 def search_prefix(spark, d):
     """The five best pages of one city for every query."""
     asks = table(spark, d, "search_results").where("termes IS NOT NULL").groupBy("query_id").agg(F.array_join(F.array_distinct(F.flatten(F.collect_set("termes"))), " ").alias("q"))
-    return search.search(docs(spark, d), asks, "valmoret/", 5, newest="indexed_at").select("query_id", "hit_rank", "url", "titre", "score")
+    return search.search_index(stored_index(spark, d), asks, "valmoret/", 5).select("query_id", "hit_rank", "url", "titre", "score")
 
 
 @query("SELECT DISTINCT split_part(url, '/', 1) AS ville FROM index_docs WHERE url IS NOT NULL")

@@ -24,6 +24,12 @@ def test_pruned_search_finds_the_same(spark, index):
     for k in (1, 3, 10, 200):
         rows = lambda s, k=k: sorted((r["query_id"], r["hit_rank"], r["ref"], r["score"]) for r in search.top_hits(s, k).collect())
         assert rows(search.score(index["weighed"], asked, index["bounds"], k)) == rows(search.score(index["weighed"], asked))
+    # Few rare words beside a very common one: the lists of the common word are not read.
+    rare = spark.createDataFrame([(q, t) for q in range(9) for t in (f"mot{50 + q}", "mot0", "mot1")], "query_id int, term string")
+    weighed = index["weighed"].withColumn("impact", F.col("impact") * F.when(F.col("term").isin("mot0", "mot1"), 0.01).otherwise(1.0))
+    for k in (1, 2):
+        rows = lambda s, k=k: sorted((r["query_id"], r["hit_rank"], r["ref"], r["score"]) for r in search.top_hits(s, k).collect())
+        assert rows(search.score(weighed, rare, search.bounds(weighed), k)) == rows(search.score(weighed, rare))
 
 
 def test_bounds_are_the_greatest_impacts(index):
