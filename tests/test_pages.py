@@ -40,6 +40,8 @@ def test_each_element_has_a_page(spark, words, tmp_path):
     run(parser().parse_args(["extract", words, str(tmp_path)]), spark)
     section, below = "doc/Chapitre/2/Section/1", "doc/Chapitre/2/Section/1/SousSection/4"
     found = {str(p.relative_to(tmp_path).parent): p.read_text(encoding="utf-8") for p in tmp_path.rglob("*.html")}
+    listed = found.pop(".")  # the list of documents, above their folders
+    assert 'id="doc"' in listed and all(f'href="{x}/index.html"' in listed for x in ("doc", "doc/Chapitre/2", section, below))
     assert set(found) == {"doc", "doc/Chapitre", "doc/Chapitre/2", section, below}
     assert '<a href="2/index.html" class="title">Milieux et zones</a>' in found["doc/Chapitre"]
     assert all("T3.3</a> et T9.9" in found[x] for x in ("doc", "doc/Chapitre/2", section, below))
