@@ -47,10 +47,20 @@ def build_index(docs: DataFrame, ref: str = "ref", fields: dict[str, float] | No
     return index_once(latest(docs.select(ref, *([newest] if newest else []), *fields), ref, newest), ref, fields)
 
 
+def document_terms(rows: DataFrame, ref: str, fields: dict[str, float]) -> DataFrame:
+    """(ref, parts) of documents that are there once each, written once: for each field a struct of its name and its terms."""
+    of = [F.struct(F.lit(f).alias("field"), tokens(F.col(f)).alias("terms")) for f in fields]
+    return materialize(rows.select(F.col(ref).alias("ref"), F.array(*of).alias("parts")), "terms")
+
+
 def index_once(rows: DataFrame, ref: str, fields: dict[str, float]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """build_index of documents that are there once each."""
-    of = [F.struct(F.lit(f).alias("field"), tokens(F.col(f)).alias("terms")) for f in fields]
-    split = materialize(rows.select(F.col(ref).alias("ref"), F.inline(F.array(*of))), "terms").withColumn("length", F.size("terms"))
+    return index_of_terms(document_terms(rows, ref, fields), fields)
+
+
+def index_of_terms(terms: DataFrame, fields: dict[str, float]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """build_index of document_terms."""
+    split = terms.select("ref", F.inline("parts")).withColumn("length", F.size("terms"))
     one = split.select("ref", "field", "length", F.explode("terms").alias("term"))
     postings = one.groupBy("ref", "field", "term").agg(F.count("*").alias("tf"), F.first("length").alias("length"))
     terms = postings.groupBy("ref", "term").agg(F.lit(1).alias("n")).groupBy("term").agg(F.sum("n").alias("df"))
@@ -172,12 +182,24 @@ def score_clauses(weighed: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 INDEX_TABLES = ("documents", "weighed", "bounds")
+#: The fields of stored documents with their boosts.
+BOOSTS = {"titre": 2.0, "texte": 1.0}
+
+
+def stored_documents(docs: DataFrame, ref: str = "ref", newest: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The stored documents and their document_terms."""
+    stored = materialize(latest(docs, ref, newest).withColumnRenamed(ref, "ref"), "stored")
+    return stored, document_terms(stored, "ref", BOOSTS)
 
 
 def index_tables(docs: DataFrame, ref: str = "ref", newest: str | None = None) -> dict[str, DataFrame]:
     """What searches need: the stored documents, the impacts of terms and their bounds."""
-    stored = materialize(latest(docs, ref, newest).withColumnRenamed(ref, "ref"), "stored")
-    weighed = materialize(impacts(*index_once(stored, "ref", {"titre": 2.0, "texte": 1.0})), "impacts")
+    return index_of_stored(*stored_documents(docs, ref, newest))
+
+
+def index_of_stored(stored: DataFrame, terms: DataFrame) -> dict[str, DataFrame]:
+    """index_tables of stored_documents."""
+    weighed = materialize(impacts(*index_of_terms(terms, BOOSTS)), "impacts")
     return {"documents": stored, "weighed": weighed, "bounds": bounds(weighed)}
 
 
